@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import token_counts
+from casegraph.llm import license_scan, line_dedup, quality, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -20,6 +20,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.kept_text(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+    return out.select(
+        F.col("_id").alias("doc_id"), F.size("_lines").cast("long").alias("n_lines"),
+        F.size("_dropped").cast("long").alias("n_dropped"), F.sha2(F.col("_kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op2_line_dedup"] = line_dedup.SQL
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
