@@ -52,9 +52,10 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.concatenate(([0], np.cumsum(keep)))
     outline = K.Prefix(drawn[keep]).spans(at[start], at[end])
     same = row[1:] == row[:-1]
-    hashes, rows = [], []
+    again = (plain[1:] == plain[:-1]).astype(K.U64)  # a word that stands twice in a row
+    hashes, rows = [np.where(again == 1, K.U64(5), K.U64(6))[same]], [row[1:][same]]
     for salt, h in ((1, plain), (2, outline)):
-        hashes += [h + K.U64(salt), (h[:-1] * K._M1 + h[1:] * K.U64(2 * salt + 1))[same]]
+        hashes += [h + K.U64(salt), (h[:-1] * K._M1 + h[1:] * K.U64(2 * salt + 1) + again * K._M2)[same]]
         rows += [row, row[1:][same]]
     return (K.mix(np.concatenate(hashes)) >> K.U64(64 - BITS)).astype(np.int64), np.concatenate(rows)
 

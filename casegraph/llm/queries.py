@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import license_scan, line_dedup, quality, token_counts
+from casegraph.llm import license_scan, line_dedup, nearest, quality, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -48,6 +48,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(counts, 512)
 
 
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
