@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import license_scan, line_dedup, nearest, quality, token_counts
+from casegraph.llm import license_scan, line_dedup, near_dups, nearest, quality, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -42,6 +42,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
