@@ -7,18 +7,22 @@ Two such sets meet in what is left of each signature when all but its
 (size - min_shared + 1) rarest pairs are skipped (prefix merging), so only these
 are posted; values that one set alone has count among them and post nothing.
 
-Equal sets are one class from the start. The classes of a posting list aren't
-paired with each other: in rounds, each is held against one leader of the list
-from another component, and what verifies on the full sets merges components.
-When few pairs of different components are left in common lists, all these are
-verified. So each link either is verified or joins what is joined already, and
-components are exact, though a list of n similar sets costs about n pairs.
+Equal sets are one class from the start. The classes of a long posting list
+aren't paired with each other at first: in rounds, each is held against the
+leaders of its lists, the best of which is verified on the full sets, and what
+verifies merges components. Then the pairs of short lists that lie in different
+components are verified, and long lists that still hold several components are
+cut into blocks; a task gets two blocks, compares their signatures at once,
+verifies what is left in different components and returns no more links than
+join them. So each link either is verified or joins what is joined already.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,7 +30,10 @@ from casegraph.operators.graph import connected_components, durable
 
 #: Members of a posting list or followers of a leader that one task gets at once.
 FOLLOWERS = 2048
-MAX_ROUNDS = 8
+#: Lists up to this length are paired directly.
+SHORT = 48
+#: Rounds of leaders, at most.
+ROUNDS = 3
 
 
 def similar(inter: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -69,6 +76,90 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(similar(inter, F.size("_sa"), F.size("_sb"), percent)).select("a", "b").distinct()
 
 
+def _block(table: pa.Table, min_shared: int, percent: int) -> pa.Table:
+    """Links between the two blocks of one list, as many as join components."""
+    size = table["n"].to_numpy()
+    ids, token = table["id"].to_numpy(), table["token"][0].as_py()
+    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+    part = table["_part"].to_numpy()
+    lists = table["tokens"].combine_chunks()
+    holder = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+    other = lists.flatten().to_numpy()
+    lower = other < token
+    distinct, code, count = np.unique(other[lower], return_inverse=True, return_counts=True)
+    common = np.full(len(distinct), -1)
+    common[count > 1] = np.arange((count > 1).sum())
+    met = np.zeros((len(ids), max((count > 1).sum(), 1)), np.float32)  # smaller tokens, under which a pair is met instead
+    hit = common[code] >= 0
+    met[holder[lower][hit], common[code][hit]] = 1
+    sets = table["set"].combine_chunks()
+    begin, flat = sets.offsets.to_numpy(), sets.flatten().to_numpy()
+    flat, begin = flat, begin - begin[0]
+    elements, place = np.unique(flat, return_inverse=True)
+    width = len(elements) // 8 + 1
+    root = {}
+
+    def find(c):
+        while root.setdefault(c, c) != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    component = table["component"].to_numpy()
+    left, right = np.flatnonzero(part != 1), np.flatnonzero(part != 0)
+    bits: dict[int, np.ndarray] = {}
+
+    def row(i: int) -> np.ndarray:
+        if i not in bits:
+            if len(bits) * width > 64 << 20:
+                bits.clear()
+            own = np.zeros(width * 8, bool)
+            own[place[begin[i] : begin[i + 1]]] = True
+            bits[i] = np.packbits(own)
+        return bits[i]
+
+    out = []
+    for at in range(0, len(left), 128):
+        a = left[at : at + 128]
+        agree = np.zeros((len(a), len(right)), np.int16)
+        for k in range(keys.shape[1]):
+            agree += keys[a, k][:, None] == keys[right, k][None, :]
+        ok = (agree >= min_shared) & (component[a][:, None] != component[right][None, :])
+        ok &= (100 * np.minimum(size[a][:, None], size[right][None, :])) >= (percent * np.maximum(size[a][:, None], size[right][None, :]))
+        if (part == 2).all():
+            ok &= ids[a][:, None] < ids[right][None, :]
+        ok &= met[a] @ met[right].T == 0
+        i, j = np.nonzero(ok)
+        order = np.argsort(-agree[i, j], kind="stable")
+        i, j = a[i[order]], right[j[order]]
+        step = max(1, (8 << 20) // width)
+        while len(i):
+            x, y = i[:step], j[:step]
+            inter = np.bitwise_count(np.array([row(k) for k in x]) & np.array([row(k) for k in y])).sum(1, dtype=np.int64)
+            for p, q in zip(x[good := 100 * inter >= percent * (size[x] + size[y] - inter)], y[good]):
+                u, v = find(int(component[p])), find(int(component[q]))
+                if u != v:
+                    root[max(u, v)] = min(u, v)
+                    out.append((ids[p], ids[q]))
+            i, j = i[step:], j[step:]
+            if len(i):
+                now = {c: find(c) for c in set(component[i].tolist()) | set(component[j].tolist())}
+                apart = np.array([now[c] for c in component[i].tolist()]) != np.array([now[c] for c in component[j].tolist()])
+                i, j = i[apart], j[apart]
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+
+def block_links(long: DataFrame, lists: DataFrame, signs: DataFrame, sets: DataFrame, min_shared: int, percent: int) -> DataFrame:
+    """Links (a, b) inside long lists (token, id, component, _size), by pairs of blocks."""
+    members = long.withColumn("_blocks", F.ceil(F.col("_size") / FOLLOWERS).cast("int")).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    members = members.select("token", "id", "component", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    members = members.select("token", "id", "component", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("_part"))
+    whole = lists.join(long.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.collect_list("token").alias("tokens"))
+    data = signs.select("id", "n", "keys").join(whole, "id").join(sets, "id")
+    rows = members.join(data, "id")
+    return rows.groupBy("token", "_i", "_j").applyInArrow(lambda t: _block(t, min_shared, percent), "a long, b long")
+
+
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """labels (id, component) after links (a, b) between ids."""
     of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_c{c}"))
@@ -95,32 +186,28 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
     sets = sets_of(involved).repartition("id").persist(StorageLevel.DISK_ONLY)
     labels = durable(involved.select("id", F.col("id").alias("component")))
     signs = durable(reps.join(involved, "id", "left_semi"))
-    for turn in range(MAX_ROUNDS + 1):
+    for turn in range(ROUNDS):
         placed = lists.join(labels, "id")
-        groups = placed.groupBy("token").agg(
+        groups = durable(placed.groupBy("token").agg(
             F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size"),
             F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("_h"), F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("component").alias("_cb"))).alias("_lead"),
-        ).where("_low <> _high")
-        groups = durable(groups)
-        left, rows = groups.agg(F.sum(F.col("_size") * (F.col("_size") - 1) / 2), F.sum("_size")).first()
-        if not rows:
-            break
-        if turn < MAX_ROUNDS and (left > 3 * rows):
-            held = placed.join(groups.select("token", "_lead.b", "_lead._nb", "_lead._cb"), "token")
-            pairs = held.where((F.col("component") != F.col("_cb")) & size_fits(F.col("n"), F.col("_nb"), percent)).select(F.col("id").alias("a"), "b").distinct()
-            best = collisions(pairs, signs, min_shared).groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-            last = False
-        else:
-            some = placed.join(groups.select("token"), "token")
-            x, y = some.alias("x"), some.alias("y")
-            meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & size_fits(F.col("x.n"), F.col("y.n"), percent)
-            pairs = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-            best = collisions(pairs, signs, min_shared)
-            last = True
-        links = durable(verified(durable(best.select("a", "b")), sets, percent))
-        labels = merged(labels, links)
-        if last:
+        ).where((F.col("_low") != F.col("_high")) & (F.col("_size") > SHORT)))
+        if groups.isEmpty():
             break
+        held = placed.join(groups.select("token", "_lead.b", "_lead._nb", "_lead._cb"), "token")
+        pairs = held.where((F.col("component") != F.col("_cb")) & size_fits(F.col("n"), F.col("_nb"), percent)).select(F.col("id").alias("a"), "b").distinct()
+        best = collisions(pairs, signs, min_shared).groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+        labels = merged(labels, durable(verified(durable(best.select("a", "b")), sets, percent)))
+    placed = durable(lists.join(labels, "id"))
+    groups = durable(placed.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")).where("_low <> _high").select("token", "_size"))
+    some = placed.join(groups.where(F.col("_size") <= SHORT).select("token"), "token")
+    x, y = some.alias("x"), some.alias("y")
+    meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & size_fits(F.col("x.n"), F.col("y.n"), percent)
+    pairs = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    links = verified(durable(collisions(pairs, signs, min_shared).select("a", "b")), sets, percent)
+    long = placed.join(groups.where(F.col("_size") > SHORT), "token")
+    links = durable(links.union(block_links(long, lists, signs, sets, min_shared, percent)))
+    labels = merged(labels, links)
     sets.unpersist()
     of = labels.select(F.col("id").alias("rep"), "component")
     return members.select("id", "n", "rep").join(of, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
