@@ -10,18 +10,33 @@ lineage stays short and a lost executor costs no more than a round.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """A checkpoint in the session's own checkpoint folder; one is set only where there is none."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; one is set only where there is none, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def durable(df: DataFrame, eager: bool = True) -> DataFrame:
+    """A checkpoint of a small table."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet to the shared folder and read again: compressed, and read by column."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
