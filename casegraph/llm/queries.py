@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import license_scan, line_dedup, near_dups, nearest, quality, suffix_dedup, token_counts
+from casegraph.llm import bpe, license_scan, line_dedup, near_dups, nearest, quality, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.kept_text(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
