@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import bpe, license_scan, line_dedup, near_dups, nearest, quality, suffix_dedup, token_counts
+from casegraph.llm import bpe, license_scan, line_dedup, near_dups, nearest, quality, substring_dedup, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -61,6 +61,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over_limit(counts, 512)
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
