@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casegraph.operators.graph import durable
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "\t\n\x0b\x0c\r "
 
@@ -29,13 +31,13 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
-    """(id, _lines, _dropped): each row's lines and the sorted positions that it loses.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, _lines, _dropped, and the columns to keep): each row's lines and the sorted positions that it loses.
 
     Lines whose key has min_chars code points or more and stands in min_docs
     documents or more stay only in the smallest id that holds the key.
     """
-    source = docs.select(F.col(id_col).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_lines"))
+    source = docs.select(F.col(id_col).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_lines"), *keep)
     lines = source.where("_id is not null").select("_id", F.posexplode("_lines").alias("_pos", "_line"))
     keyed = lines.select("_id", "_pos", line_key(F.col("_line")).alias("_key")).where(F.length("_key") >= min_chars)
     hashed = keyed.select("_id", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key", F.lit(7)).alias("_h2"))
@@ -45,7 +47,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         once = hashed.select("_h1", "_h2", "_id").distinct()
         counts = once.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where(F.col("_n") >= min_docs).drop("_n")
-    drop = hashed.join(counts, ["_h1", "_h2"]).where("_id <> _first").select("_id", "_pos")
+    drop = hashed.join(durable(counts), ["_h1", "_h2"]).where("_id <> _first").select("_id", "_pos")
     per_doc = drop.groupBy("_id").agg(F.array_sort(F.collect_set("_pos")).alias("_dropped"))
     return source.join(per_doc, "_id", "left").withColumn("_dropped", F.coalesce("_dropped", F.array().cast("array<int>")))
 

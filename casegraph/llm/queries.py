@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casegraph.llm import bpe, license_scan, line_dedup, near_dups, nearest, quality, substring_dedup, suffix_dedup, token_counts
+from casegraph.llm import bpe, decontamination, license_scan, line_dedup, near_dups, nearest, quality, substring_dedup, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -55,6 +55,12 @@ def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "overlap", "answer_overlap").dropDuplicates(["doc_id", "item_id"])
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
