@@ -9,6 +9,7 @@ lineage stays short and a lost executor costs no more than a round.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,6 +38,12 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files of tables that nothing refers to any more; else they wait for the driver's next full collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -60,6 +67,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         small = large.join(low, "u").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b")).where("a <> b")
         now = durable(small.select(F.col("a").alias("u"), F.col("b").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct())
         last, state = state, _state(now)
+        release(edges.sparkSession)
         if state == last:
             break
     else:
