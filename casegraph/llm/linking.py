@@ -7,14 +7,13 @@ Two such sets meet in what is left of each signature when all but its
 (size - min_shared + 1) rarest pairs are skipped (prefix merging), so only these
 are posted; values that one set alone has count among them and post nothing.
 
-Equal sets are one class from the start. The classes of a long posting list
+Equal sets are one class from the start. The members of short lists are paired
+and verified. Long lists are cut into blocks; a task gets two blocks, compares
+their signatures at once, verifies what it hasn't joined yet, most alike first,
+and returns no more links than join them. The members of lists of several blocks
 aren't paired with each other at first: in rounds, each is held against the
 leaders of its lists, the best of which is verified on the full sets, and what
-verifies merges components. Then the pairs of short lists that lie in different
-components are verified, and long lists that still hold several components are
-cut into blocks; a task gets two blocks, compares their signatures at once,
-verifies what is left in different components and returns no more links than
-join them. So each link either is verified or joins what is joined already.
+verifies merges components; only lists that still hold several go on. So each link either is verified or joins what is joined already.
 """
 
 from __future__ import annotations
@@ -26,13 +25,13 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegraph.operators.graph import connected_components, durable
+from casegraph.operators.graph import connected_components, durable, release
 
 #: Members of a posting list or followers of a leader that one task gets at once.
 FOLLOWERS = 2048
 #: Lists up to this length are paired directly.
 SHORT = 48
-#: Rounds of leaders, at most.
+#: Rounds of leaders for lists of several blocks, at most.
 ROUNDS = 3
 
 
@@ -183,6 +182,7 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
     busy = lists.groupBy("token").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low <> _high").select("token")
     lists = durable(lists.join(busy, "token").select("token", "id", "n"))
     involved = durable(lists.select("id").distinct())
+    release(items.sparkSession)
     sets = sets_of(involved).repartition("id").persist(StorageLevel.DISK_ONLY)
     labels = durable(involved.select("id", F.col("id").alias("component")))
     signs = durable(reps.join(involved, "id", "left_semi"))
@@ -191,7 +191,7 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
         groups = durable(placed.groupBy("token").agg(
             F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size"),
             F.min(F.struct(F.xxhash64(F.lit(turn), "id").alias("_h"), F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("component").alias("_cb"))).alias("_lead"),
-        ).where((F.col("_low") != F.col("_high")) & (F.col("_size") > SHORT)))
+        ).where((F.col("_low") != F.col("_high")) & (F.col("_size") > FOLLOWERS)))
         if groups.isEmpty():
             break
         held = placed.join(groups.select("token", "_lead.b", "_lead._nb", "_lead._cb"), "token")
