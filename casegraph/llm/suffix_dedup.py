@@ -212,12 +212,13 @@ RUNS = "id long, h long, place int, first int, last int, bucket long"
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(id, h, start, end): byte ranges of rows (id, h, text) to remove; they may overlap."""
     runs = stored(docs.select("id", "h", "text").mapInArrow(_scan, f"{RUNS}, context long"))
-    busy = runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
+    # tables of their own, so that the joins with them can be split where a bucket is large
+    busy = stored(runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket"))
     shared = stored(runs.join(busy, "bucket").select(runs.columns))
     kinds = stored(shared.groupBy("bucket", "context").agg(F.count("*").alias("_n"), F.min(F.struct("id", "h", "place", "first", "last")).alias("_one")))
     whole = shared.join(kinds.where("_n > 1").select("bucket", "context"), ["bucket", "context"])
     found = [whole.select("id", "h", F.col("first").alias("start"), (F.col("last") + SPAN).alias("end"))]
-    several = kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1")
+    several = stored(kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1"))
     apart = kinds.join(several.select("bucket"), "bucket").select("_one.*", "bucket")
     per_doc = apart.groupBy("id", "h").agg(F.collect_list(F.struct("place", "first", "last", "bucket")).alias("runs"))
     texts = docs.select(F.col("id").alias("_i"), F.col("h").alias("_h"), "text")
