@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 # Letters and their Latin forms; a letter without one is dropped.
 ARABIC = {
@@ -29,7 +30,7 @@ def first_present(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in cols])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compose(s: pd.Series) -> pd.Series:
     """Unicode compatibility composition."""
     return s.str.normalize("NFKC")
@@ -86,7 +87,7 @@ def jaro_winkler(a: str, b: str) -> float:
     return score + prefix * 0.1 * (1 - score) if score > 0.7 else score
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def jw(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two names; 0 if either is missing. Equal pairs of a batch are scored once."""
     memo: dict = {}

@@ -1,15 +1,599 @@
-"""Registered queries of the case engine and their DuckDB counterparts."""
+"""Registered queries of the case engine on the supplied tables, each with its DuckDB counterpart."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
+from casegraph.functions import dates, html, text, vectors
+from casegraph.operators import cases, media, pairs, resolve, tables, verify
+from casegraph.operators.graph import connected_components, label_all
+from casegraph.sources.stores import envelope as envelope_rows, table
 
+QUERIES: dict = {}
+ORACLES: dict = {}
 
-def queries():
-    return {}
 
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
 
-def oracle_sql():
-    return {}
+    return register
+
+
+def queries() -> dict:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict:
+    return dict(ORACLES)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents through the gate, blocked by place and month, joined by similar text openings, merged to cases."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    gate = tables.first_reason([("toxic", F.col("toxic") == 1), ("low_quality", F.col("quality") == 0)], "keep")
+    kept = docs.withColumn("reason", gate).where("reason = 'keep'")
+    named = kept.select("doc_id", "source", "n_chars", text.romanize(F.array_join(F.slice(F.split("text", "[ \n]+"), 1, 6), " ")).alias("name"))
+    keyed = named.withColumn("keys", pairs.block_keys(F.lit(None).cast("string"), F.lit(None).cast("date"), F.col("name"))).withColumn("keys", F.array_remove("keys", "__no_block__"))
+    met = pairs.block_pairs(keyed.select(F.col("doc_id").alias("id"), "keys"), "keys")
+    sides = [named.select(F.col("doc_id").alias(f"id_{s}"), F.col("name").alias(f"name_{s}")) for s in "ab"]
+    scored = met.join(sides[0], "id_a").join(sides[1], "id_b").withColumn("jaro", text.jw(F.col("name_a"), F.col("name_b")))
+    labelled = label_all(named, connected_components(scored.where("jaro >= 0.95"), "id_a", "id_b"), "doc_id")
+    return labelled.groupBy(F.col("component").alias("case_id")).agg(F.count("*").alias("n_sources"), F.count_distinct("source").alias("n_publishers"), F.min_by("name", "doc_id").alias("title"), resolve.positive_count(F.col("n_chars")).alias("longest"))
+
+
+# --- latest rows, snapshots, funnels -------------------------------------------------------
+
+
+@query("""select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by ts desc, event_id) rn from events) where rn = 1""")
+def latest_per_key(spark, sf_dir):
+    return tables.latest(table(spark, sf_dir, "events"), ["user_id"], F.desc("ts"), F.asc("event_id")).select("user_id", "event_id", "event_type", "value")
+
+
+@query("""select user_id, event_id, value from (select *, row_number() over (partition by user_id order by ts desc, event_id) rn from events where event_type <> 'error') where rn = 1""")
+def latest_successful(spark, sf_dir):
+    ok = table(spark, sf_dir, "events").where("event_type <> 'error'")
+    return tables.latest(ok, ["user_id"], F.desc("ts"), F.asc("event_id")).select("user_id", "event_id", "value")
+
+
+@query("""with s as (select doc_id, sha256(text) as h from documents), r as (select h, max(doc_id) as doc_id from s group by h)
+select doc_id, h as content_hash, row_number() over (order by doc_id desc) - 1 as case_index from r""")
+def snapshot_dedupe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
+    newest = docs.groupBy("content_hash").agg(F.max("doc_id").alias("doc_id"))
+    return tables.numbered(newest, "case_index", F.desc("doc_id")).select("doc_id", "content_hash", "case_index")
+
+
+_FUNNEL = """select o_orderpriority, {n} as discovered, {f} as fetched, {t} as triaged, {e} as extracted,
+ coalesce({f}::double / nullif({n}, 0), 0) as fetched_yield, coalesce({t}::double / nullif({f}, 0), 0) as triaged_yield, coalesce({e}::double / nullif({t}, 0), 0) as extracted_yield
+from orders left join lineitem on o_orderkey = l_orderkey group by o_orderpriority"""
+_STAGES = {"n": "o_orderkey is not null", "f": "o_orderstatus <> 'F'", "t": "o_orderstatus = 'P'", "e": "o_orderstatus = 'P' and l_returnflag = 'R'"}
+
+
+def _funnel_stages():
+    fetched, triaged = F.col("o_orderstatus") != "F", F.col("o_orderstatus") == "P"
+    return {"discovered": F.col("o_orderkey").isNotNull(), "fetched": fetched, "triaged": triaged, "extracted": triaged & (F.col("l_returnflag") == "R")}
+
+
+@query(_FUNNEL.format(**{k: f"(count(*) filter (where {v}))" for k, v in _STAGES.items()}))
+def funnel_raw(spark, sf_dir):
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return tables.funnel(joined, ["o_orderpriority"], _funnel_stages())
+
+
+@query(_FUNNEL.format(**{k: f"(count(distinct case when {v} then o_orderkey end))" for k, v in _STAGES.items()}))
+def funnel(spark, sf_dir):
+    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), F.lit("R").alias("l_returnflag")).distinct()
+    return tables.funnel(table(spark, sf_dir, "orders").join(returned, "o_orderkey", "left"), ["o_orderpriority"], _funnel_stages())
+
+
+# --- relevance, triage, content ------------------------------------------------------------
+
+_GATE = """case when trim(coalesce(text, '')) = '' then 'empty' when toxic = 1 then 'toxic' when quality = 0 then 'low_quality' when n_chars < 200 then 'short' else 'keep' end"""
+
+
+def _gated(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rules = [("empty", F.trim(F.coalesce("text", F.lit(""))) == ""), ("toxic", F.col("toxic") == 1), ("low_quality", F.col("quality") == 0), ("short", F.col("n_chars") < 200)]
+    return docs.withColumn("reason", tables.first_reason(rules, "keep"))
+
+
+@query(f"select doc_id, source, reason from (select *, {_GATE} as reason from documents left join labels using (doc_id)) where reason = 'keep'")
+def relevance_gate(spark, sf_dir):
+    return _gated(spark, sf_dir).where("reason = 'keep'").select("doc_id", "source", "reason")
+
+
+@query(f"select reason, count(*) as n from (select {_GATE} as reason from documents left join labels using (doc_id)) group by reason")
+def relevance_reasons(spark, sf_dir):
+    return tables.histogram(_gated(spark, sf_dir), "reason")
+
+
+@query("""select doc_id, case when toxic = 1 then 'no' when quality = 1 then 'yes' when quality = 0 then 'maybe' else 'pass' end as triage_status from documents left join labels using (doc_id)""")
+def triage_pass(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    status = F.when(F.col("toxic") == 1, "no").when(F.col("quality") == 1, "yes").when(F.col("quality") == 0, "maybe")
+    return docs.select("doc_id", F.coalesce(status, F.lit("pass")).alias("triage_status"))
+
+
+@query("""select doc_id, case when len(string_split(text, ' ')) < 50 then 'non_article' when contains(lower(text), 'subscribe') or contains(lower(text), 'premium') then 'partial' else 'article' end as content_type from documents""")
+def content_type(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.content_type(F.col("text")).alias("content_type"))
+
+
+@query("""select doc_id, latin, accented, round(latin / nullif(latin + accented, 0), 4) as latin_share from (select doc_id, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) as latin, length(regexp_replace(text, '[^À-ÖØ-öø-ÿ]', '', 'g')) as accented from documents)""")
+def script_profile(spark, sf_dir):
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", text.script_count(t, "latin").alias("latin"), text.script_count(t, "accented").alias("accented"), F.round(text.script_purity(t, "latin"), 4).alias("latin_share"))
+
+
+@query("""select lang, upper(lang) || '-' || translate(lower(left(text, 40)), 'àâäáãåçèéêëìíîïñòóôöõùúûüýÿß', 'aaaaaaceeeeiiiinooooouuuuyys') as folded, count(*) as n from documents group by all""")
+def transliterate(spark, sf_dir):
+    folded = F.concat(F.upper("lang"), F.lit("-"), F.translate(F.lower(F.left("text", F.lit(40))), text.ACCENTED, text.PLAIN))
+    return table(spark, sf_dir, "documents").groupBy("lang", folded.alias("folded")).agg(F.count("*").alias("n"))
+
+
+@query("""select doc_id, case when strpos(lower(text), 'pathetic') > 0 or strpos(lower(text), 'worthless') > 0 or strpos(lower(text), 'idiot') > 0 then 'insult' when strpos(lower(text), 'license') > 0 then 'legal' end as category,
+case when i + l = 0 then 0.0::double else least(0.92::double, 0.5::double + 0.15::double * greatest(i, l)) end as confidence from (
+select *, (contains(lower(text), 'pathetic'))::int + (contains(lower(text), 'worthless'))::int + (contains(lower(text), 'idiot'))::int as i, (contains(lower(text), 'license'))::int as l from documents)""")
+def keyword_category(spark, sf_dir):
+    c = text.keyword_category(F.col("text"), {"insult": ["pathetic", "worthless", "idiot"], "legal": ["license"]})
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(c)).alias("c")).select("doc_id", "c.category", "c.confidence")
+
+
+# --- URLs and HTML -------------------------------------------------------------------------
+
+_HOST = r"regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\.', '')"
+
+
+@query(rf"""select page_id, {_HOST} as host, case when {_HOST} like '%.example.com' then 1 when {_HOST} like '%.example.org' then 2 when {_HOST} like '%.example.net' then 3 end as tier,
+regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^/?#]*)', 1) as section from pages""")
+def url_classify(spark, sf_dir):
+    tiers = spark.createDataFrame([("example.com", 1), ("example.org", 2), ("example.net", 3)], "domain string, tier int")
+    pages = table(spark, sf_dir, "pages").select("page_id", text.host(F.col("url")).alias("host"), text.first_path_segment(F.col("url")).alias("section"))
+    return pages.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)).join(F.broadcast(tiers), "domain", "left").select("page_id", "host", "tier", "section")
+
+
+@query(rf"""select publisher, count(*) as n from (select upper(left(p, 1)) || lower(substr(p, 2)) as publisher from (select regexp_extract({_HOST}, '([^.]+)\.[^.]+$', 1) as p from pages)) group by publisher""")
+def host_publisher(spark, sf_dir):
+    return tables.histogram(table(spark, sf_dir, "pages").select(text.publisher(F.col("url")).alias("publisher")), "publisher")
+
+
+@query("""select page_id, trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)) as title, regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) as lang, len(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) as n_links from pages""")
+def html_meta(spark, sf_dir):
+    h = F.col("html")
+    return table(spark, sf_dir, "pages").select("page_id", html.title(h).alias("title"), html.language(h).alias("lang"), F.size(html.links(h)).cast("long").alias("n_links"))
+
+
+@query("""select link, count(*) as n, count(distinct page_id) as n_pages from (select page_id, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) as link from pages) group by link""")
+def html_links(spark, sf_dir):
+    found = table(spark, sf_dir, "pages").select("page_id", F.explode(html.links(F.col("html"))).alias("link"))
+    return found.groupBy("link").agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("n_pages"))
+
+
+@query(r"""select page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\n\r\f]+', ' ', 'g'))) as text_md5 from pages""")
+def html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(html.clean_text(F.col("html"))).alias("text_md5"))
+
+
+@query("""select page_id, substr(sha256(url), 1, 16) as url_id, md5(html) as html_md5 from pages""")
+def hash_ids(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.url_hash(F.col("url")).alias("url_id"), F.md5("html").alias("html_md5"))
+
+
+# --- blocking, pairs, components -----------------------------------------------------------
+
+
+@query("""with k as (select distinct p_partkey as id, unnest(list_concat([p_brand || '|' || p_size], list_transform(list_filter(string_split(p_name, ' '), lambda t: length(t) >= 6), lambda t: 'nametok|' || t || p_type || p_size))) as key from part)
+select distinct a.id as id_a, b.id as id_b from k a join k b on a.key = b.key and a.id < b.id""")
+def block_pairs(spark, sf_dir):
+    long = F.filter(F.split("p_name", " "), lambda t: F.length(t) >= 6)
+    keys = F.array_distinct(F.concat(F.array(F.concat_ws("|", "p_brand", F.col("p_size").cast("string"))), F.transform(long, lambda t: F.concat(F.lit("nametok|"), t, F.col("p_type"), F.col("p_size").cast("string")))))
+    return pairs.block_pairs(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), keys.alias("keys")), "keys")
+
+
+def _part_pairs(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    met = pairs.block_pairs(part.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("|", "p_brand", F.col("p_size").cast("string"))).alias("keys")), "keys")
+    side = lambda s: part.select(F.col("p_partkey").alias(f"id_{s}"), F.col("p_name").alias(f"name_{s}"), F.col("p_type").alias(f"type_{s}"))
+    return met.join(side("a"), "id_a").join(side("b"), "id_b").withColumn("jaro", text.jw(F.col("name_a"), F.col("name_b")))
+
+
+_PAIRS = """p as (select a.p_partkey as id_a, b.p_partkey as id_b, a.p_name as name_a, b.p_name as name_b, a.p_type as type_a, b.p_type as type_b, jaro_winkler_similarity(a.p_name, b.p_name) as jaro
+ from part a join part b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey)"""
+
+
+@query(f"with {_PAIRS} select id_a, id_b, round(jaro, 4) as jaro from p")
+def jw_pairs(spark, sf_dir):
+    return _part_pairs(spark, sf_dir).select("id_a", "id_b", F.round("jaro", 4).alias("jaro"))
+
+
+@query(f"""with {_PAIRS} select id_a, id_b, case when cos >= 0.82 then case when jaro >= 0.88 then case when jaro < 0.95 and jaro_winkler_similarity(string_split(name_a, ' ')[2], string_split(name_b, ' ')[2]) < 0.85 then 'review' else 'merge' end else 'review' end
+ when cos >= 0.70 then 'review' else 'distinct' end as decision from (select *, case when type_a = type_b then 0.9 when left(type_a, 1) = left(type_b, 1) then 0.75 else 0.5 end as cos from p)""")
+def pair_decisions(spark, sf_dir):
+    cos = F.when(F.col("type_a") == F.col("type_b"), 0.9).when(F.left("type_a", F.lit(1)) == F.left("type_b", F.lit(1)), 0.75).otherwise(0.5)
+    none = F.lit(None).cast("string")
+    return _part_pairs(spark, sf_dir).select("id_a", "id_b", pairs.decide(F.col("jaro"), cos, F.col("name_a"), F.col("name_b"), none, none).alias("decision"))
+
+
+def _cosine(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings")
+    a = v.select(F.col("label"), F.col("vec_id").alias("id_a"), F.col("embedding").alias("va"))
+    b = v.select(F.col("label").alias("label_b"), F.col("vec_id").alias("id_b"), F.col("embedding").alias("vb"))
+    met = a.join(b, (F.col("label") == F.col("label_b")) & (F.col("id_a") < F.col("id_b")))
+    return met.withColumn("cosine", vectors.cosine(F.col("va"), F.col("vb")))
+
+
+_COSINE = "c as (select a.vec_id as id_a, b.vec_id as id_b, list_cosine_similarity(a.embedding::double[], b.embedding::double[]) as cosine from embeddings a join embeddings b on a.label = b.label and a.vec_id < b.vec_id)"
+
+
+@query(f"with {_COSINE} select id_a, id_b, round(cosine, 4) as cosine from c where cosine >= 0.3")
+def cosine_pairs(spark, sf_dir):
+    return _cosine(spark, sf_dir).where("cosine >= 0.3").select("id_a", "id_b", F.round("cosine", 4).alias("cosine"))
+
+
+_REACH = "r(id, other) as (select id, id from v union select r.id, e.y from r join e on e.x = r.other)"
+
+
+@query(f"""with recursive {_COSINE}, l as (select id_a, id_b from c where cosine >= 0.35), e as (select id_a as x, id_b as y from l union all select id_b, id_a from l), v as (select vec_id as id from embeddings), {_REACH}
+select id as vec_id, min(other) as component from r group by id""")
+def components(spark, sf_dir):
+    links = _cosine(spark, sf_dir).where("cosine >= 0.35").select("id_a", "id_b")
+    return label_all(table(spark, sf_dir, "embeddings").select("vec_id"), connected_components(links, "id_a", "id_b"), "vec_id").select("vec_id", "component")
+
+
+@query(f"with {_COSINE}, l as (select id_a, id_b from c where cosine >= 0.35) select vec_id from embeddings where vec_id not in (select id_a from l union select id_b from l)")
+def singletons(spark, sf_dir):
+    links = _cosine(spark, sf_dir).where("cosine >= 0.35")
+    clustered = links.select(F.col("id_a").alias("vec_id")).union(links.select("id_b"))
+    return table(spark, sf_dir, "embeddings").select("vec_id").join(clustered, "vec_id", "left_anti")
+
+
+def _near_orders(spark, sf_dir, days):
+    return pairs.near_in_time(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_orderkey", days)
+
+
+@query("""select a.o_custkey as "group", a.o_orderkey as id_a, b.o_orderkey as id_b, abs(date_diff('day', a.o_orderdate::date, b.o_orderdate::date)) as days from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey < b.o_orderkey
+where abs(date_diff('day', a.o_orderdate::date, b.o_orderdate::date)) <= 30""")
+def range_dupes(spark, sf_dir):
+    return _near_orders(spark, sf_dir, 30)
+
+
+@query(f"""with recursive l as (select a.o_orderkey as id_a, b.o_orderkey as id_b from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey < b.o_orderkey where abs(date_diff('day', a.o_orderdate::date, b.o_orderdate::date)) <= 30 and a.o_orderstatus <> 'F' and b.o_orderstatus <> 'F'),
+e as (select id_a as x, id_b as y from l union all select id_b, id_a from l), v as (select o_orderkey as id from orders where o_orderstatus <> 'F'), {_REACH},
+k as (select id as o_orderkey, min(other) as component from r group by id),
+n as (select o_custkey, count(distinct component) as n, min(component) as only_one from k join orders using (o_orderkey) group by o_custkey)
+select o_orderkey, component from k union all select o_orderkey, case when n = 1 then only_one else o_orderkey end from orders left join n using (o_custkey) where o_orderstatus = 'F'""")
+def refine_groups(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    links = pairs.near_in_time(orders.where("o_orderstatus <> 'F'"), "o_custkey", "o_orderdate", "o_orderkey", 30)
+    return cases.refine(orders, "o_custkey", "o_orderkey", links, F.col("o_orderstatus") != "F").select("o_orderkey", "component")
+
+
+# --- resolvers -----------------------------------------------------------------------------
+
+_PRIORITY = "case l_returnflag when 'A' then 1 when 'N' then 2 else 99 end"
+
+
+@query(f"""select l_orderkey, max(case when rn = 1 then l_linestatus end) as resolved, count(distinct l_linestatus) > 1 as field_conflict from (select *, row_number() over (partition by l_orderkey order by {_PRIORITY}, l_quantity desc, l_linenumber, l_linestatus) rn from lineitem) group by l_orderkey""")
+def resolve_priority(spark, sf_dir):
+    p = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(99)
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(resolve.by_priority(F.col("l_linestatus"), p, F.col("l_quantity"), F.struct("l_linenumber", "l_linestatus")).alias("resolved"), resolve.conflicting(F.col("l_linestatus")).alias("field_conflict"))
+
+
+@query("""select user_id, event_type from (select *, row_number() over (partition by user_id order by n desc, first_id) rn from (select user_id, event_type, count(*) n, min(event_id) first_id from events group by all)) where rn = 1""")
+def resolve_mode(spark, sf_dir):
+    return resolve.mode_first(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id").select("user_id", "event_type")
+
+
+_ORD = "case event_type when 'view' then 1 when 'click' then 2 when 'signup' then 3 when 'purchase' then 4 else 0 end"
+
+
+@query(f"select user_id, arg_max(event_type, {_ORD}) as status, count(distinct {_ORD}) > 1 as regression from events group by user_id")
+def resolve_ordinal(spark, sf_dir):
+    e = F.col("event_type")
+    rank = F.when(e == "view", 1).when(e == "click", 2).when(e == "signup", 3).when(e == "purchase", 4).otherwise(0)
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(resolve.by_rank(e, rank).alias("status"), resolve.conflicting(rank).alias("regression"))
+
+
+@query("""select l_orderkey, bool_or(case l_returnflag when 'R' then true when 'A' then false end) as returned, coalesce(max(case when l_quantity > 25 then l_quantity end), 1) as largest from lineitem group by l_orderkey""")
+def resolve_bool_or(spark, sf_dir):
+    flag = F.when(F.col("l_returnflag") == "R", True).when(F.col("l_returnflag") == "A", False)
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(resolve.any_true(flag).alias("returned"), F.coalesce(F.max(F.when(F.col("l_quantity") > 25, F.col("l_quantity"))), F.lit(1.0)).alias("largest"))
+
+
+@query("""select user_id, coalesce(max(case when v > 0 then v end), 1) as n from (select user_id, floor(value)::int as v from events) group by user_id""")
+def resolve_count(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("user_id", F.floor("value").cast("int").alias("v")).groupBy("user_id").agg(resolve.positive_count(F.col("v")).alias("n"))
+
+
+_W = "case event_type when 'signup' then 2 when 'purchase' then 1 else 0 end"
+
+
+@query(f"""select user_id, n_sources, confidence, case when confidence < 0.55 then 'needs_review' else 'auto' end as review_status, best_event from (
+select user_id, count(*) as n_sources, arg_min(event_id, (2 - {_W}, -value, event_id)) as best_event,
+round_even(least(greatest(case when sum({_W}) > 0 then sum(least(value / 100, 1) * {_W}) / sum({_W}) else avg(least(value / 100, 1)) end, 0), case when count(*) = 1 then 0.6 else 1 end), 3) as confidence from events group by user_id)""")
+def merge_cluster(spark, sf_dir):
+    e = F.col("event_type")
+    w = F.when(e == "signup", 2).when(e == "purchase", 1).otherwise(0)
+    conf = F.least(F.col("value") / 100, F.lit(1.0))
+    merged = table(spark, sf_dir, "events").groupBy("user_id").agg(
+        F.count("*").alias("n_sources"), resolve.weighted_confidence(conf, w).alias("confidence"), resolve.by_priority(F.col("event_id"), 2 - w, F.col("value"), F.col("event_id")).alias("best_event"),
+    )
+    return merged.select("user_id", "n_sources", "confidence", resolve.needs_review(F.col("confidence"), F.array().cast("array<string>")).alias("review_status"), "best_event")
+
+
+@query("""with l as (select l_orderkey, l_returnflag, max(l_linestatus) as l_linestatus from lineitem group by all) select l.* from l join (select l_orderkey from l group by l_orderkey having count(distinct l_linestatus) > 1) using (l_orderkey)""")
+def conflict_map(spark, sf_dir):
+    return resolve.conflict_rows(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_returnflag", "l_linestatus").select("l_orderkey", "l_returnflag", "l_linestatus")
+
+
+@query("""with f as (select conv_id, arg_min(text, turn) as primary_text, list(text order by turn) as all_text from conversations group by conv_id)
+select conv_id, (i - 1)::int as record_index, md5(all_text[i]) as record from (select *, unnest(range(1, len(all_text) + 1)) as i from f)""")
+def explode_records(spark, sf_dir):
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    conv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("t"))
+    shaped = conv.select("conv_id", F.get("t", F.lit(0))["text"].alias("text"), F.transform(F.slice("t", F.lit(2), F.size("t")), lambda x: F.struct(x["text"].alias("text"))).alias("more"))
+    return tables.records(shaped, ["text"], "more", ["conv_id"]).select("conv_id", "record_index", F.md5("text").alias("record"))
+
+
+# --- places, lists, rollups ----------------------------------------------------------------
+
+
+@query("""select c_custkey, n_name as place, r_name as region from customer left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""")
+def place_lookup(spark, sf_dir):
+    places = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.select("c_custkey", F.col("n_name").alias("place"), F.col("r_name").alias("region"))
+
+
+@query("""select n_name as place, count(*) as n_cases, max(o_orderdate)::date as last_date, round(avg(case when o_totalprice < 100000 then 1.0 else 0 end), 4) as under_share from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where o_orderstatus = 'F' group by n_name""")
+def memorial_rollup(spark, sf_dir):
+    places = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("o_custkey"), F.col("n_name").alias("place"))
+    joined = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").join(places, "o_custkey")
+    return joined.groupBy("place").agg(F.count("*").alias("n_cases"), F.max("o_orderdate").cast("date").alias("last_date"), F.round(F.avg(F.when(F.col("o_totalprice") < 100000, 1.0).otherwise(0.0)), 4).alias("under_share"))
+
+
+@query("""select year(o_orderdate)::int as year, count(*) as n_cases, count(*) filter (where c_custkey is null) as unresolved, count(distinct c_nationkey) as n_places from orders left join customer on o_custkey = c_custkey where o_orderstatus = 'F' group by 1""")
+def memorial_totals(spark, sf_dir):
+    joined = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return joined.groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n_cases"), F.count_if(F.col("c_custkey").isNull()).alias("unresolved"), F.count_distinct("c_nationkey").alias("n_places"))
+
+
+@query("""select o_orderkey, c_name, o_totalprice from orders join customer on o_custkey = c_custkey where o_orderdate between '1996-01-01' and '1999-12-31' and contains(lower(c_mktsegment), 'build') and o_totalprice >= 1000 order by o_totalprice desc, o_orderkey limit 50 offset 50""")
+def list_cases(spark, sf_dir):
+    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    wanted = joined.where(F.col("o_orderdate").between("1996-01-01", "1999-12-31") & F.contains(F.lower("c_mktsegment"), F.lit("build")) & (F.col("o_totalprice") >= 1000))
+    return tables.page(wanted.select("o_orderkey", "c_name", "o_totalprice"), 2, 50, F.desc("o_totalprice"), F.asc("o_orderkey"))
+
+
+@query("""select 'status' as field, o_orderstatus as value from orders group by all union all select 'priority', o_orderpriority from orders group by all""")
+def filters_distinct(spark, sf_dir):
+    long = table(spark, sf_dir, "orders").select(F.explode(F.array(F.struct(F.lit("status").alias("field"), F.col("o_orderstatus").alias("value")), F.struct(F.lit("priority").alias("field"), F.col("o_orderpriority").alias("value")))).alias("x"))
+    return long.select("x.*").distinct()
+
+
+@query("""select o_custkey, count(*) as n from orders group by o_custkey order by n desc, o_custkey limit 10""")
+def stats_top(spark, sf_dir):
+    return tables.histogram(table(spark, sf_dir, "orders"), "o_custkey").orderBy(F.desc("n"), "o_custkey").limit(10)
+
+
+@query("""select event_type, count(*) as n_cases, round_even(avg(value), 3) as avg_confidence, min(ts) as started_at from events group by event_type""")
+def runs_summary(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n_cases"), F.bround(F.avg("value"), 3).alias("avg_confidence"), F.min("ts").cast("timestamp_ntz").alias("started_at"))
+
+
+@query("""select strftime(o_orderdate, '%Y-%m') as month, count(*) as n from orders group by 1""")
+def month_histogram(spark, sf_dir):
+    return tables.histogram(table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month")), "month")
+
+
+@query("""select md5(text) as text_key, count(distinct doc_id) as n_docs, min(doc_id) as first_doc from documents group by 1 having count(distinct doc_id) >= 2""")
+def shared_keys(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(F.md5("text").alias("text_key")).agg(F.count_distinct("doc_id").alias("n_docs"), F.min("doc_id").alias("first_doc")).where("n_docs >= 2")
+
+
+@query("""select doc_id, doc_id in (select doc_id from labels) as in_db from documents""")
+def in_db_annotate(spark, sf_dir):
+    known = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("in_db", F.lit(True))
+    return table(spark, sf_dir, "documents").select("doc_id").join(known, "doc_id", "left").select("doc_id", F.coalesce("in_db", F.lit(False)).alias("in_db"))
+
+
+@query("""select doc_id, lang from documents where doc_id not in (select doc_id from labels)""")
+def anti_skip(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+@query("""select user_id, array_to_string(list_transform(list_filter([1, 2, 3], lambda t: not list_contains(tiers, t)), lambda t: 'missing_tier_' || t), ',') as gaps from (select user_id, list(distinct case event_type when 'view' then 1 when 'click' then 2 else 3 end) as tiers from events where value > 60 group by user_id)""")
+def tier_gaps(spark, sf_dir):
+    tier = F.when(F.col("event_type") == "view", 1).when(F.col("event_type") == "click", 2).otherwise(3)
+    seen = table(spark, sf_dir, "events").where("value > 60").groupBy("user_id").agg(F.collect_set(tier).alias("tiers"))
+    return seen.select("user_id", F.array_join(cases.tier_gaps(F.col("tiers")), ",").alias("gaps"))
+
+
+# --- dates, windows, JSON ------------------------------------------------------------------
+
+
+@query("""select o_orderkey, case when p - year(d) < 0 or p - year(d) between 1 and 2 then coalesce(try_cast(printf('%04d-%s', p, strftime(d, '%m-%d')) as date), d) else d end as clamped from (select o_orderkey, o_orderdate::date as d, 1998 as p from orders)""")
+def year_clamp(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.clamp_year(F.col("o_orderdate").cast("date"), F.lit(1998)).alias("clamped"))
+
+
+@query("""select o_orderkey, raw, case when regexp_matches(raw, '[Xx?]') then null else try_cast(raw as date) end as parsed from (select o_orderkey, case when o_orderkey % 3 = 0 then strftime(o_orderdate, '%Y-%m-XX') when o_orderkey % 7 = 0 then '????-??-??' else strftime(o_orderdate, '%Y-%m-%d') end as raw from orders)""")
+def partial_dates(spark, sf_dir):
+    key = F.col("o_orderkey")
+    raw = F.when(key % 3 == 0, F.concat(F.date_format("o_orderdate", "yyyy-MM"), F.lit("-XX"))).when(key % 7 == 0, "????-??-??").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw")).withColumn("parsed", dates.whole_date(F.col("raw")))
+
+
+@query("""select l_orderkey, l_linenumber, least(o_orderdate::date, l_shipdate::date) as incident_date, greatest(o_orderdate::date, l_shipdate::date) as death_date, o_orderdate > l_shipdate as swapped from lineitem join orders on l_orderkey = o_orderkey""")
+def date_repair(spark, sf_dir):
+    joined = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    a, b = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
+    return joined.select("l_orderkey", "l_linenumber", F.least(a, b).alias("incident_date"), F.greatest(a, b).alias("death_date"), (F.col("o_orderdate") > F.col("l_shipdate")).alias("swapped"))
+
+
+_EPOCH = "to_timestamp(floor(epoch(ts) / {s}) * {s})::timestamp"
+
+
+@query(f"select {_EPOCH.format(s=172800).replace('to_timestamp', 'make_timestamp').replace('* 172800)', '* 172800000000)::bigint').replace('make_timestamp(floor', 'make_timestamp((floor').replace('::bigint::timestamp', '::bigint)')} as window_start, event_type, count(*) as n from events group by all")
+def windows_48h(spark, sf_dir):
+    start = dates.window_start(F.col("ts").cast("timestamp"), 48).cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").groupBy(start.alias("window_start"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("""select event_type, k, count(*) as n, count(*) filter (where k is null) as invalid from (select event_type, json_extract(props, '$.k')::int as k from events) group by all""")
+def json_props(spark, sf_dir):
+    parsed = table(spark, sf_dir, "events").select("event_type", F.from_json("props", "k int", {"mode": "PERMISSIVE"})["k"].alias("k"))
+    return parsed.groupBy("event_type", "k").agg(F.count("*").alias("n"), F.count_if(F.col("k").isNull()).alias("invalid"))
+
+
+@query("""select user_id, event_id, event_type, ts::date as day from (select *, row_number() over (partition by user_id, ts::date, event_type order by ts, event_id) rn from events) where rn = 1""")
+def timeline(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    return tables.latest(e, ["user_id", "day", "event_type"], F.asc("ts"), F.asc("event_id")).select("user_id", "event_id", "event_type", "day")
+
+
+@query("""with t as (select * from (select *, row_number() over (partition by user_id, event_type order by value desc, event_id) a from events) where a <= 2) select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by value desc, event_id) b from t) where b <= 8""")
+def topk_per_type(spark, sf_dir):
+    per_type = tables.top_k(table(spark, sf_dir, "events"), ["user_id", "event_type"], 2, F.desc("value"), F.asc("event_id"))
+    return tables.top_k(per_type, ["user_id"], 8, F.desc("value"), F.asc("event_id")).select("user_id", "event_id", "event_type")
+
+
+# --- confidence, reconcile, provenance, verification ---------------------------------------
+
+
+@query("""with f as (select c_custkey, any_value(c_acctbal) as bal, count(o_orderkey) as n, max(o_orderdate) as d from customer left join orders on c_custkey = o_custkey group by c_custkey)
+select c_custkey, identity, media, round_even(identity * 0.25 + 0.5 * 0.20 + 0.5 * 0.15 + 0.5 * 0.15 + 0.5 * 0.15 + media * 0.10, 3) as overall from (
+select c_custkey, least(1.0, ((bal > 0)::int + (d is not null)::int + 2) / 4.0 + case when n >= 2 then 0.1 else 0 end) * case when n > 15 then 0.95 else 1.0 end::double as identity,
+least(case when n = 0 then 0.05 when n = 1 then 0.4 when n <= 3 then 0.7 else least(1.0, 0.7 + 0.05 * (n - 3)) end, case when bal < 0 then 0.3 else 1.0 end)::double as media from f)""")
+def category_confidence(spark, sf_dir):
+    joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    f = joined.groupBy("c_custkey").agg(F.max("c_acctbal").alias("bal"), F.count("o_orderkey").alias("n"), F.max("o_orderdate").alias("d"))
+    fields = [F.when(F.col("bal") > 0, 1), F.col("d"), F.lit(1), F.lit(1)]
+    f = f.select("c_custkey", cases.case_identity(fields, F.col("n"), F.col("n") > 15).alias("identity"), cases.media_confidence(F.col("n"), F.col("bal") < 0).alias("media"))
+    half = {k: F.lit(0.5) for k in cases.CATEGORY_WEIGHTS}
+    return f.withColumn("overall", cases.overall_confidence(half | {"case_identity": F.col("identity"), "media": F.col("media")}))
+
+
+def _reconciled(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("city"), F.col("p_type").alias("kind"), F.col("p_size").alias("size"))
+    met = pairs.block_pairs(part.select("id", F.array(F.concat_ws("|", "city", F.col("size").cast("string"))).alias("keys")), "keys")
+    side = lambda s: part.select(*[F.col(c).alias(f"{c}_{s}") for c in part.columns])
+    met = met.join(side("a"), "id_a").join(side("b"), "id_b").withColumn("score", text.jw(F.col("name_a"), F.col("name_b")))
+    day = lambda s: F.make_date(F.lit(2024), F.when(F.col(f"kind_{s}") < "N", 1).otherwise(2), F.lit(1))
+    a, b = ({"name": F.col(f"name_{s}"), "city": F.col(f"city_{s}"), "date": day(s)} for s in "ab")
+    rule = cases.reconcile_rule(a, b, F.col("score"), text.strict_subset(F.col("name_a"), F.col("name_b")), F.lit(True), F.lit(False))
+    return part, met.select("id_a", "id_b", rule.alias("rule")).where("rule is not null")
+
+
+_RULES = f"{_PAIRS}, l as (select id_a, id_b, 'name_match' as rule from p where (type_a < 'N') = (type_b < 'N') and jaro >= 0.90)"
+
+
+@query(f"with {_RULES} select * from l")
+def reconcile_pairs(spark, sf_dir):
+    return _reconciled(spark, sf_dir)[1]
+
+
+@query(f"""with recursive {_RULES}, e as (select id_a as x, id_b as y from l union all select id_b, id_a from l), v as (select p_partkey as id from part), {_REACH},
+k as (select id, min(other) as component from r group by id)
+select k.id, component, row_number() over (partition by component order by p_size desc, k.id) = 1 as is_canonical,
+case when k.id = component then 'root' when exists (select 1 from l where l.id_a = component and l.id_b = k.id) then 'name_match' else 'transitive' end as reason from k join part on p_partkey = k.id""")
+def reconcile_merge(spark, sf_dir):
+    part, links = _reconciled(spark, sf_dir)
+    grouped = cases.merge_groups(part, links, "id", F.desc("size"))
+    return cases.merge_provenance(grouped, links, "id").select("id", "component", "is_canonical", "reason")
+
+
+_PROV = """with u as (select o_custkey, o_orderkey, 'status' as field, o_orderstatus as value from orders union all select o_custkey, o_orderkey, 'priority', o_orderpriority from orders), s as (select o_custkey, field, value, count(distinct o_orderkey) as supporters from u group by all), t as (select o_custkey, field, count(distinct o_orderkey) as n from u group by all)
+select o_custkey, field, value, supporters, n - supporters as dissenters, round_even(supporters / n, 3) as support from s join t using (o_custkey, field)"""
+
+
+@query(_PROV)
+def provenance(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    return cases.provenance(rows, "o_custkey", "o_orderkey", ["status", "priority"])
+
+
+@query("""with recursive c as (select item_id as t, doc_id as d from benchmark b join documents d on contains(d.text, left(b.text, 60))), g(t, taken) as (
+ select -1::bigint, []::bigint[] union all select n.t, case when n.d is null then n.taken else list_append(n.taken, n.d) end from (
+  select i.item_id as t, g.taken, (select min(c.d) from c where c.t = i.item_id and not list_contains(g.taken, c.d)) as d from g join benchmark i on i.item_id = g.t + 1) n)
+select nt as truth_count, nd as pipeline_count, tp as true_positive, nt - tp as false_negative, nd - tp as false_positive, round(tp / nd, 6) as precision, round(tp / nt, 6) as recall
+from (select (select count(*) from benchmark) as nt, (select count(*) from documents) as nd, (select max(len(taken)) from g) as tp)""")
+def verify_metrics(spark, sf_dir):
+    truth = table(spark, sf_dir, "benchmark").select("item_id", F.left("text", F.lit(60)).alias("opening"))
+    docs = table(spark, sf_dir, "documents")
+    # test sets are small and of fixed size; their openings meet each document once
+    met = docs.join(F.broadcast(truth), F.contains(F.col("text"), F.col("opening"))).select("item_id", "doc_id")
+    found = verify.greedy_matches(met, "item_id", "doc_id")
+    out = verify.metrics(truth, docs.select("doc_id"), found)
+    return out.select("truth_count", "pipeline_count", "true_positive", "false_negative", "false_positive", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
+# --- media, filters, sets, sinks -----------------------------------------------------------
+
+_HASHES = "m as (select doc_id, source, n_chars, substr(md5(text), 1, 16) as phash, sha256(text) as sha from documents)"
+_NIBBLES = " + ".join(f"bit_count(xor(('0x' || substr(a.phash, {i}, 8))::bigint, ('0x' || substr(b.phash, {i}, 8))::bigint))" for i in (1, 9))
+
+
+def _media(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", F.substring(F.md5("text"), 1, 16).alias("phash"), F.sha2("text", 256).alias("sha"))
+
+
+@query(f"with {_HASHES} select a.doc_id as id_a, b.doc_id as id_b from m a join m b on a.source = b.source and a.doc_id < b.doc_id where {_NIBBLES} <= 12")
+def media_hamming(spark, sf_dir):
+    return media.same_image(_media(spark, sf_dir), "source", "doc_id", "sha", "phash", 12)
+
+
+@query(f"""with recursive {_HASHES}, l as (select a.doc_id as id_a, b.doc_id as id_b from m a join m b on a.source = b.source and a.doc_id < b.doc_id where {_NIBBLES} <= 12), e as (select id_a as x, id_b as y from l union all select id_b, id_a from l), v as (select doc_id as id from m), {_REACH}
+select id as doc_id, min(other) as component from r group by id""")
+def media_clusters(spark, sf_dir):
+    m = _media(spark, sf_dir)
+    return media.clusters(m, media.same_image(m, "source", "doc_id", "sha", "phash", 12), "doc_id").select("doc_id", "component")
+
+
+@query("""select sha, doc_id, 'phash:' || substr(md5(text), 1, 16) as media_id from (select *, sha256(text) as sha, row_number() over (partition by sha256(text) order by n_chars desc, length(lang) desc, doc_id) rn from documents) where rn = 1""")
+def media_rep(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("sha", F.sha2("text", 256))
+    one = media.representative(docs, "sha", F.col("n_chars"), F.col("lang"), F.col("doc_id"))
+    return one.select("sha", "doc_id", media.media_id(F.substring(F.md5("text"), 1, 16), F.col("sha"), F.col("source")).alias("media_id"))
+
+
+@query("""select doc_id, array_to_string(list_filter(string_split(left(text, 80), ' '), lambda w: length(w) >= 5 and not contains(w, ',')), ' ') as aliases from documents""")
+def alias_filter(spark, sf_dir):
+    words = F.split(F.left("text", F.lit(80)), " ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(F.filter(words, lambda w: (F.length(w) >= 5) & ~F.contains(w, F.lit(","))), " ").alias("aliases"))
+
+
+@query("""select source, count(*) as n_sources, count(*) filter (where contains(lower(text), 'license')) as kept from documents group by source""")
+def decontaminate(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n_sources"), F.count_if(F.contains(F.lower("text"), F.lit("license"))).alias("kept"))
+
+
+@query("""select doc_id, case when n_chars > 10000 then 'very_long' when n_chars < 100 then 'very_short' when quality = 0 then 'low_quality' when toxic = 1 then 'toxic' end as category from documents left join labels using (doc_id) where n_chars > 10000 or n_chars < 100 or quality = 0 or toxic = 1""")
+def outliers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rules = [("very_long", F.col("n_chars") > 10000), ("very_short", F.col("n_chars") < 100), ("low_quality", F.col("quality") == 0), ("toxic", F.col("toxic") == 1)]
+    return docs.select("doc_id", F.nullif(tables.first_reason(rules, ""), F.lit("")).alias("category")).where("category is not null")
+
+
+@query("""select k as key, min(o) as first_part from (select c_nationkey as k, 0 as o from customer union all select s_nationkey, 1 from supplier union all select n_nationkey, 2 from nation) group by k""")
+def multi_source_union(spark, sf_dir):
+    parts = [table(spark, sf_dir, t).select(F.col(c).alias("key"), F.lit(i).alias("first_part")).distinct() for i, (t, c) in enumerate((("customer", "c_nationkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey")))]
+    return tables.union_distinct(parts, "key")
+
+
+@query("""select coalesce(o.o_orderkey, u.k) as o_orderkey, coalesce(u.p, o.o_totalprice) as o_totalprice, coalesce(o.o_orderstatus, u.s) as o_orderstatus from orders o full join (select case when o_orderkey % 2 = 0 then o_orderkey else o_orderkey + 10000000 end as k, round(o_totalprice * 2, 2) as p, 'U' as s from orders where o_orderkey % 5 = 0) u on o.o_orderkey = u.k""")
+def upsert(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).otherwise(F.col("o_orderkey") + 10000000)
+    update = orders.where("o_orderkey % 5 = 0").select(key.alias("o_orderkey"), F.round(F.col("o_totalprice") * 2, 2).alias("o_totalprice"), F.lit("U").alias("o_orderstatus"))
+    return tables.upsert(orders, update, "o_orderkey", ["o_totalprice"])
+
+
+@query()
+def envelope(spark, sf_dir):
+    merged = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("case_id"), "o_orderstatus", "o_totalprice")
+    return envelope_rows(merged, "canonical_1")
