@@ -35,7 +35,7 @@ from casegraph.llm.pieces import MOST_PIECES, PieceTable, worker_cache
 STEPS = 24
 LONG = 48
 #: Rows of (piece, position) in one query.
-QUERY_ROWS = 150_000
+QUERY_ROWS = 60_000
 
 _ROUND = """
 with recursive state(piece, pos, token, step) as (
@@ -88,31 +88,44 @@ def load_ranks(raw: bytes) -> dict[bytes, int]:
 
 
 class Codec:
-    """One DuckDB connection with the merge table and the vocabulary, and the pieces met so far."""
+    """The pieces met so far, and one DuckDB connection with the merge table or the vocabulary, whichever is used first."""
 
     def __init__(self, raw: bytes) -> None:
-        import duckdb
-
-        self.ranks = load_ranks(raw)
-        self.bytes = {b: self.ranks[bytes([b])] for b in range(256)}
-        merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        first, second, rank = (np.array(x, np.int64) for x in zip(*merges)) if merges else (np.zeros(0, np.int64),) * 3
-        least = np.full(max(self.ranks.values()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, first, rank)
-        np.minimum.at(least, second, rank)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self.db.register("merges_", pa.table({"first": first, "second": second, "rank": rank, "clean": least[rank] > rank}))
-        self.db.execute("create table merges as select * from merges_")
-        self.db.register("vocabulary_", pa.table({"token": pa.array(list(self.ranks.values()), pa.int32()), "bytes": [t.hex() for t in self.ranks]}))
-        self.db.execute("create table vocabulary as select * from vocabulary_")
-        self.byte_token = np.array([self.bytes[b] for b in range(256)], np.int64)
+        self.raw = raw
+        self.tables: set[str] = set()
         self.table = PieceTable()
         self.start, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
         self.text_table = PieceTable()
         self.text_start, self.text_flat = np.zeros(1, np.int64), np.zeros(0, np.uint8)
 
+    def _need(self, name: str) -> None:
+        if name in self.tables:
+            return
+        if not self.tables:
+            import duckdb
+
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
+        ranks = load_ranks(self.raw)
+        if name == "merges":
+            self.ranks = ranks
+            self.byte_token = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+            parts = ((ranks.get(t[:i]), ranks.get(t[i:]), r) for t, r in ranks.items() for i in range(1, len(t)))
+            merges = np.array([x for x in parts if x[0] is not None and x[1] is not None], np.int64).reshape(-1, 3)
+            first, second, rank = merges.T
+            least = np.full(max(ranks.values()) + 1, np.iinfo(np.int64).max)
+            np.minimum.at(least, first, rank)
+            np.minimum.at(least, second, rank)
+            made = pa.table({"first": first, "second": second, "rank": rank, "clean": least[rank] > rank})
+        else:
+            made = pa.table({"token": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.hex() for t in ranks]})
+        self.db.register("made", made)
+        self.db.execute(f"create table {name} as select * from made")
+        self.db.unregister("made")
+        self.tables.add(name)
+
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
+        self._need("merges")
         out: list = [None] * len(pieces)
         short, long = [], []
         for i, piece in enumerate(pieces):
@@ -174,6 +187,7 @@ class Codec:
 
     def decode_sequences(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Bytes of each sequence of ids; sequences have one id at least."""
+        self._need("vocabulary")
         out: list[bytes] = []
         ends = np.cumsum(sizes)
         at = 0
