@@ -94,3 +94,20 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_c
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_shared: int = MIN_SHARED) -> DataFrame:
     """(id, n, component): one row per row of docs; the component is the smallest id reachable over links."""
     return components(signatures(docs, id_col, text_col), lambda ids: shingle_sets(docs, ids, id_col, text_col), min_shared, percent)
+
+
+#: DuckDB SQL for the query op5: all pairs that share a shingle, counted, then reachability.
+SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (
+  select doc_id, case when len(ws) >= 5 then list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end as sh from w),
+x as (select doc_id, unnest(sh) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from x a join x b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join s sa on sa.doc_id = a join s sb on sb.doc_id = b where 100 * k >= 85 * (len(sa.sh) + len(sb.sh) - k)),
+e as (select a as x, b as y from l union all select b, a from l),
+r(id, other) as (select doc_id, doc_id from documents union select r.id, e.y from r join e on e.x = r.other),
+c as (select id, min(other) as component_id from r group by id)
+select doc_id, len(sh)::bigint as n_shingles, component_id, doc_id = component_id as kept from s join c on c.id = doc_id
+"""

@@ -55,6 +55,9 @@ def op5_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
+ORACLES["op5_near_dups"] = near_dups.SQL
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
