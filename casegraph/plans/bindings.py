@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from casegraph.functions import dates, html, text, vectors
-from casegraph.operators import cases, media, pairs, resolve, tables, verify
+from casegraph.operators import cases, cleanup, media, pairs, resolve, tables, verify
 from casegraph.operators.graph import connected_components, label_all
 from casegraph.sources.stores import envelope as envelope_rows, table
 
@@ -597,3 +597,75 @@ def upsert(spark, sf_dir):
 def envelope(spark, sf_dir):
     merged = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("case_id"), "o_orderstatus", "o_totalprice")
     return envelope_rows(merged, "canonical_1")
+
+
+# --- clean-up rules ------------------------------------------------------------------------
+
+
+def _as_cases(spark, sf_dir):
+    """Orders as cases: the order's day as incident, the first shipment as death, statuses from two columns."""
+    shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").cast("date").alias("death_date"))
+    joined = table(spark, sf_dir, "orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    day = F.col("o_orderdate").cast("date")
+    legacy = F.when(F.col("o_orderpriority") == "1-URGENT", "arrested").when(F.col("o_orderpriority") == "2-HIGH", "charged").when(F.col("o_orderpriority") == "3-MEDIUM", "trial")
+    return joined.select(
+        F.col("o_orderkey").alias("case_id"), day.alias("incident_date"), F.when(F.col("o_orderkey") % 2 == 0, F.col("death_date")).alias("death_date"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.date_add(day, -2)).when(F.col("o_orderkey") % 3 == 1, F.date_add(day, 1)).alias("incident_date_possible"), F.array().cast("array<string>").alias("flags"),
+        legacy.alias("police_status"), F.when(F.col("o_orderstatus") == "F", "charged").when(F.col("o_orderstatus") == "O", "in custody").alias("suspect_status"),
+        F.lit(None).cast("string").alias("legal_status"), F.lit(None).cast("string").alias("police_investigation_status"), F.array(F.lit("arrested"), F.lit("in_custody")).alias("suspect_conflicts"),
+    )
+
+
+_CASES = """c as (select o_orderkey as case_id, o_orderdate::date as i0, case when o_orderkey % 2 = 0 then d end as d0, case when o_orderkey % 3 = 0 then o_orderdate::date - 2 when o_orderkey % 3 = 1 then o_orderdate::date + 1 end as p0
+ from orders left join (select l_orderkey, min(l_shipdate)::date as d from lineitem group by 1) on o_orderkey = l_orderkey),
+s as (select *, coalesce(d0 < i0, false) as sw, case when d0 < i0 then d0 else i0 end as i1, case when d0 < i0 then i0 else d0 end as d1 from c),
+t as (select case_id, sw, d1, case when p0 > i1 then p0 else i1 end as incident_date, case when p0 > i1 then i1 else p0 end as incident_date_possible from s),
+u as (select case_id, sw, incident_date, incident_date_possible, case when d1 is null and incident_date_possible < incident_date then incident_date else d1 end as death_date from t)"""
+
+
+@query(f"with {_CASES} select case_id, incident_date, death_date, incident_date_possible, case when sw then 'date_chronology_repaired' else '' end as flags from u")
+def chronology_repair(spark, sf_dir):
+    out = cleanup.repair_dates(_as_cases(spark, sf_dir))
+    return out.select("case_id", "incident_date", "death_date", "incident_date_possible", F.array_join("flags", ",").alias("flags"))
+
+
+@query("""select case_id, 'arrested' as suspect_status, coalesce(l1, case when s1 = 'charged' then 'indicted' end) as legal_status, i1 as police_investigation_status, 0::int as n_conflicts from (
+select case_id, p, coalesce(s0, case p when 'arrested' then 'arrested' when 'charged' then 'in_custody' end) as s1, case p when 'charged' then 'indicted' when 'trial' then 'on_trial' end as l1, case p when 'arrested' then 'suspect_identified' when 'charged' then 'completed' end as i1 from (
+select o_orderkey as case_id, case o_orderpriority when '1-URGENT' then 'arrested' when '2-HIGH' then 'charged' when '3-MEDIUM' then 'trial' end as p, case o_orderstatus when 'F' then 'charged' when 'O' then 'in custody' end as s0 from orders)) where s1 is not null""")
+def status_axes(spark, sf_dir):
+    out = _as_cases(spark, sf_dir).transform(cleanup.split_status).transform(cleanup.collapse_status).where("suspect_status is not null")
+    return out.select("case_id", "suspect_status", "legal_status", "police_investigation_status", F.size("suspect_conflicts").alias("n_conflicts"))
+
+
+@query(f"""with {_CASES}, f as (select *, least(incident_date, incident_date_possible) as f from u),
+e as (select case_id, f as date, 'Incident occurred' as event from f union select case_id, death_date, 'Victim death reported' from f where death_date is not null and death_date <> f
+ union select case_id, incident_date, 'Victim death reported' from f where (death_date is null or death_date = f) and incident_date <> f
+ union select l_orderkey, l_shipdate::date, 'Reported in ' || l_returnflag from lineitem)
+select case_id, date, event from e""")
+def timeline_build(spark, sf_dir):
+    sources = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("_k")).agg(F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("url"), F.col("l_returnflag").alias("publisher"), F.col("l_shipdate").cast("date").alias("published"))).alias("sources"))
+    made = cleanup.repair_dates(_as_cases(spark, sf_dir)).join(sources, F.col("case_id") == F.col("_k"), "left")
+    made = made.withColumn("sources", F.coalesce("sources", F.array().cast(made.schema["sources"].dataType)))
+    return cleanup.add_timeline(made).select("case_id", F.explode("timeline").alias("e")).select("case_id", "e.date", "e.event")
+
+
+@query("""select doc_id, coalesce(is_evidence, false) as is_evidence, reason from (select doc_id, case when toxic = 1 then false when contains(lower(text), 'license') then true when lang = 'fr' and contains(lower(text), 'eau') then true when n_chars > 5000 and lang = 'de' then true when source = 'src3' then true else false end as is_evidence,
+ case when toxic = 1 then 'stock_photo:conf=0.90' when contains(lower(text), 'license') then 'caption_match:victim:License' when lang = 'fr' and contains(lower(text), 'eau') then 'category:crime_scene+city:eau' when n_chars > 5000 and lang = 'de' and contains(lower(text), 'eau') then 'category:victim_portrait+city:eau' when n_chars > 5000 and lang = 'de' then 'category:victim_portrait+high_conf' when source = 'src3' then 'og_image_lead' else 'default:no_evidence_signal' end as reason
+ from documents left join labels using (doc_id))""")
+def evidence_decision(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    row = {
+        "text": F.col("text"), "is_stock": F.col("toxic") == 1, "stock_confidence": F.lit(0.9), "category": F.when(F.col("lang") == "fr", "crime_scene").when(F.col("lang") == "de", "victim_portrait").otherwise("other"),
+        "confidence": F.when(F.col("n_chars") > 5000, 0.9).otherwise(0.5), "selector": F.when(F.col("source") == "src3", "meta:og:image").otherwise("img"),
+    }
+    names = lambda *x: F.array(*[F.lit(v) for v in x])
+    return docs.select("doc_id", F.explode(F.array(media.evidence_decision(row, names("License"), names(""), names("eau"), ["forensic"]))).alias("e")).select("doc_id", "e.is_evidence", "e.reason")
+
+
+@query("""with g as (select l_orderkey, count(*) as n, count(distinct l_linestatus) - 1 as dis, bool_or(l_returnflag = 'A') as t1, bool_or(l_returnflag = 'N') as t2, bool_or(l_returnflag = 'R') as t3 from lineitem group by 1),
+b as (select *, least(0.6::double + 0.07::double * n, 0.9::double) as b0 from g), c as (select *, case when t3 then least(1.0::double, b0 + 0.1::double) else b0 end as b1 from b), d as (select *, case when t1 and t2 then least(1.0::double, b1 + 0.05::double) else b1 end as b2 from c)
+select l_orderkey, round_even(case when dis > 0 then greatest(0.4::double, b2 - 0.1::double * dis) else b2 end, 3) as confidence from d""")
+def support_confidence(spark, sf_dir):
+    tier = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+    g = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.collect_set(tier).alias("tiers"), (F.count_distinct("l_linestatus") - 1).alias("dis"))
+    return g.select("l_orderkey", cleanup.support_confidence(F.col("n"), F.col("tiers"), F.col("dis")).alias("confidence"))
