@@ -3,10 +3,13 @@
 Words are runs of digits, letters and characters beyond ASCII, in lower case. Test items are cut into entries of ENTRY words and indexed; an entry's
 weights are its BM25 contributions over its own full score. Each training text
 is cut whole into passages of PASSAGE words, every STRIDE words, and each
-passage is a query. Entries lie in blocks; a passage's words' largest weights in
-a block bound the score of all its entries, so a block whose bound is under
-THRESHOLD is skipped, and the entries of the others are scored exactly. Items
-with an entry at THRESHOLD or above are candidates.
+passage is a query. Common words, whose weights add up to half of THRESHOLD at
+most in any entry, can't make a match alone: passages go on only if an entry's
+other words in them, with all its common ones, reach THRESHOLD. Entries lie in
+blocks; a passage's words' largest weights in a block bound the scores of its
+entries, so a block whose bound is under THRESHOLD is skipped, and the entries
+of the others are scored exactly. Items with an entry at THRESHOLD or above are
+candidates; no pruning loses one.
 
 A candidate is verified on the whole text: of the item's distinct shingles of
 SHINGLE words SHARE or more must stand in it, and ANSWER_SHARE of those with a
@@ -28,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casegraph.llm import kernels as K
+from casegraph.llm.pieces import worker_cache
 
 ENTRY, PASSAGE, STRIDE, BLOCK = 40, 64, 32, 32
 K1, B = 1.2, 0.75
@@ -78,6 +82,14 @@ class Index:
         blocks = -(-n // BLOCK)
         self.bound = np.zeros((len(self.terms) + 1, blocks))  # the last row is for words that no item has
         np.maximum.at(self.bound, (term, entry // BLOCK), weight)
+        # words that no match needs: the most frequent ones, as long as no entry has too much of its score from them
+        self.common, self.spare = np.zeros(len(self.terms), bool), np.zeros(n)
+        for t in np.argsort(-df, kind="stable"):
+            part = slice(self.begin[t], self.begin[t + 1])
+            more = self.spare[entry[part]] + weight[part]
+            if (more <= THRESHOLD / 2).all():
+                self.common[t] = True
+                self.spare[entry[part]] = more
 
     @staticmethod
     def _last_sentence(text: str) -> int:
@@ -105,34 +117,39 @@ class Index:
         # each word is in the passage that begins in its stride and in the one before
         passages = np.maximum(-(-(count - (PASSAGE - STRIDE)) // STRIDE), (count > 0).astype(np.int64))
         base = np.cumsum(passages) - passages
-        cell = place // STRIDE
-        known = term < len(self.terms)
+        rare = np.flatnonzero(term < len(self.terms))
+        rare = rare[~self.common[term[rare]]]
+        cell = place[rare] // STRIDE
         pairs = []
         for back in range(PASSAGE // STRIDE):
             p = cell - back
-            ok = known & (p >= 0) & (p < passages[row])
-            pairs.append((base[row[ok]] + p[ok]) * (len(self.terms) + 1) + term[ok])
+            ok = (p >= 0) & (p < passages[row[rare]])
+            pairs.append((base[row[rare[ok]]] + p[ok]) * len(self.terms) + term[rare[ok]])
         pair = np.unique(np.concatenate(pairs))
-        passage, term = pair // (len(self.terms) + 1), pair % (len(self.terms) + 1)
-        heads = np.flatnonzero(np.append(True, passage[1:] != passage[:-1])) if len(passage) else np.zeros(0, np.int64)
-        if not len(heads):
-            return []
+        passage, own = pair // len(self.terms), pair % len(self.terms)
+        size = self.begin[own + 1] - self.begin[own]
+        at = np.repeat(self.begin[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key, code = np.unique(np.repeat(passage, size) * len(self.owner) + self.entry[at], return_inverse=True)
+        gained = np.bincount(code, self.weight[at], minlength=len(key))
+        reach = gained + self.spare[key % len(self.owner)] >= THRESHOLD - 1e-9
         best: dict[tuple[int, int], float] = {}
-        owner = np.repeat(np.arange(n_rows), passages)
-        tails = np.append(heads[1:], len(passage))
-        total = np.add.reduceat(self.bound[term], heads, axis=0)
-        for k in np.flatnonzero((total >= THRESHOLD - 1e-9).any(1)):
-            score: dict[int, float] = {}
-            alive = total[k] >= THRESHOLD - 1e-9
-            own = term[heads[k] : tails[k]]
+        first = np.cumsum(count) - count
+        for q in np.unique(key[reach] // len(self.owner)).tolist():
+            r = int(np.searchsorted(base, q, "right")) - 1
+            low = first[r] + (q - base[r]) * STRIDE
+            own = np.unique(term[low : min(low + PASSAGE, first[r] + count[r])])
+            own = own[own < len(self.terms)]
+            alive = self.bound[own].sum(0) >= THRESHOLD - 1e-9
+            if not alive.any():
+                continue
             spans = [slice(self.begin[t], self.begin[t + 1]) for t in own]
             entry = np.concatenate([self.entry[x] for x in spans])
             weight = np.concatenate([self.weight[x] for x in spans])
             keep = alive[entry // BLOCK]
             full = np.bincount(entry[keep], weight[keep])
             for e in np.flatnonzero(full >= THRESHOLD - 1e-9):
-                key = (int(owner[passage[heads[k]]]), int(self.owner[e]))
-                best[key] = max(best.get(key, 0.0), float(full[e]))
+                found = (r, int(self.owner[e]))
+                best[found] = max(best.get(found, 0.0), float(full[e]))
         return [(r, i, s) for (r, i), s in best.items()]
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -162,9 +179,10 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         raise ValueError(f"the test items hold {size} bytes; at most {MAX_ITEM_BYTES} can be indexed at once")
     rows = known.distinct().orderBy("i", "t").collect()
     sent = spark.sparkContext.broadcast(([r.i for r in rows], [r.t for r in rows]))
+    key = ("test items", hash(tuple((r.i, r.t) for r in rows)), sent._jbroadcast.id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*sent.value)
+        index = worker_cache(key, lambda: Index(*sent.value))
         for batch in batches:
             ids = batch.column(0)
             for i, _, data, offsets in K.text_slices(batch.column(1)):
