@@ -41,3 +41,20 @@ def parse_any(c: Column, formats: list[str]) -> Column:
 
 def date_from_path(url: Column) -> Column:
     return F.try_to_date(F.regexp_extract(url, r"/(\d{4}/\d{2}/\d{2})(?:/|$)", 1), "yyyy/MM/dd")
+
+
+def adaptive_window(df, ts: str, most: int, hours: tuple[int, ...] = (48, 24, 12, 6, 3)):
+    """Adds window_start and window_hours: the widest window of a row that holds at most so many rows, else the narrowest.
+
+    Counts per level are partial aggregations; a level is looked at only for rows that the wider ones left.
+    """
+    done, left = None, df
+    for h in hours:
+        placed = left.withColumn("window_start", window_start(F.col(ts).cast("timestamp"), h))
+        counts = placed.groupBy("window_start").agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+        fits = placed.join(counts, "window_start", "left_anti") if h != hours[-1] else placed
+        part = fits.select(*df.columns, F.col("window_start"), F.lit(h).alias("window_hours"))
+        done = part if done is None else done.unionByName(part)
+        if h != hours[-1]:
+            left = placed.join(counts.select("window_start"), "window_start", "left_semi").select(*df.columns)
+    return done

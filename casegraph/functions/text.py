@@ -177,3 +177,22 @@ def keyword_category(text: Column, categories: dict[str, list[str]]) -> Column:
     for k in reversed(list(hits)):
         name = F.when((hits[k] == most) & (most > 0), k).otherwise(name)
     return F.struct(name.alias("category"), F.when(most > 0, F.least(F.lit(0.92), 0.5 + 0.15 * most)).otherwise(0.0).alias("confidence"))
+
+
+def sentences(c: Column) -> Column:
+    return F.filter(F.transform(F.split(c, r"[.!?؟]+\s+|\n+"), lambda s: F.trim(s)), lambda s: s != "")
+
+
+def outcome(c: Column, death: list[str], injury: list[str], background: list[str] = ()) -> Column:
+    """died, survived or null: sentences that only tell of injuries against those that tell of a death, without background sentences."""
+    says = lambda s, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(s), w)) if words else F.lit(False)
+    told = F.filter(sentences(c), lambda s: ~says(s, list(background)))
+    dead = F.exists(told, lambda s: says(s, death))
+    return F.when(dead, "died").when(F.exists(told, lambda s: says(s, injury)), "survived")
+
+
+def search_queries(name: Column, city: Column, year: Column, terms: list[str], most: int = 8, longest: int = 200) -> Column:
+    """Ordered distinct queries from what a case knows, each under the longest length."""
+    known = lambda *parts: F.when(sum((F.when(p.isNull(), 1).otherwise(0) for p in parts), F.lit(0)) == 0, F.concat_ws(" ", *[p.cast("string") for p in parts]))
+    out = F.array(known(name), known(name, city), known(name, year), *[known(city, F.lit(t), year) for t in terms], *[known(name, F.lit(t)) for t in terms])
+    return F.slice(F.array_distinct(F.filter(out, lambda q: q.isNotNull() & (F.length(q) < longest))), 1, most)

@@ -79,3 +79,17 @@ def records(df: DataFrame, primary: list[str], more: str, keep: list[str]) -> Da
 def rollup_by_place(cases: DataFrame, places: DataFrame, key: str, measures: dict[str, Column]) -> DataFrame:
     """Cases per place of a small dimension; cases without a place are left out here and counted as unresolved elsewhere."""
     return cases.join(places, key).groupBy(*places.columns).agg(*[c.alias(n) for n, c in measures.items()])
+
+
+def sort_keys(field: str, descending: bool, tie: str) -> list[Column]:
+    """A list view's order: missing values last upwards and first downwards, as the direction flips them too."""
+    return [F.col(field).desc_nulls_first() if descending else F.col(field).asc_nulls_last(), F.col(tie)]
+
+
+def stale(rows: DataFrame, cache: DataFrame, keys: list[str], version: int) -> DataFrame:
+    """Rows whose cached result is missing or of an older version."""
+    return rows.join(cache.where(F.col("version") >= version).select(*keys).distinct(), keys, "left_anti")
+
+
+def attach_cached(rows: DataFrame, cache: DataFrame, keys: list[str], version: int) -> DataFrame:
+    return rows.join(cache.where(F.col("version") >= version).drop("version"), keys, "left")
