@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegraph.operators.graph import connected_components, durable, release
+from casegraph.operators.graph import connected_components, durable, release, stored
 
 #: Members of a posting list or followers of a leader that one task gets at once.
 FOLLOWERS = 2048
@@ -46,11 +46,12 @@ def size_fits(n_a: Column, n_b: Column, percent: int) -> Column:
 
 def postings(reps: DataFrame, min_shared: int) -> DataFrame:
     """(token, id, n) of the prefixes of (id, n, keys), by rising frequency of the tokens."""
-    tokens = reps.select("id", "n", F.size("keys").alias("_k"), F.posexplode("keys").alias("_pos", "_value"))
-    tokens = tokens.select("id", "n", "_k", F.xxhash64("_pos", "_value").alias("token")).repartition("token")
+    tokens = reps.select("id", F.posexplode("keys").alias("_pos", "_value"))
+    tokens = tokens.select("id", F.xxhash64("_pos", "_value").alias("token")).repartition("token")
     shared = tokens.groupBy("token").agg(F.count("*").alias("_f")).where("_f > 1")
     met = tokens.join(shared, "token")
-    mine = met.groupBy("id", "n", "_k").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("_all"))
+    mine = met.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("_all"))
+    mine = mine.join(reps.select("id", "n", F.size("keys").alias("_k")).dropDuplicates(["id"]), "id")
     # _all leaves out the tokens that no other set has; they are the rarest
     room = F.greatest(F.col("_k") - F.lit(min_shared) + 1 - (F.col("_k") - F.size("_all")), F.lit(0))
     return mine.select("id", "n", F.explode(F.slice("_all", F.lit(1), room)).alias("_t")).select(F.col("_t.token").alias("token"), "id", "n")
@@ -167,17 +168,17 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return durable(labels.join(new, "component", "left").select("id", F.coalesce("_new", "component").alias("component")))
 
 
-def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_shared: int, percent: int) -> DataFrame:
-    """(id, n, component) for each row of items (id, n, h1, h2, keys).
+def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_shared: int, percent: int, kept: bool = False) -> DataFrame:
+    """(id, n, component) for each row of items (id, n, h1, h2, keys); kept tells that items is a stored table.
 
     n is the set's size and (h1, h2) its hash; keys is its signature. sets_of(ids)
     gives (id, set) for a table of ids. Rows that share an id are one item, linked
     by any of their sets; items without elements (n = 0) are linked with nothing.
     """
-    items = durable(items)
+    items = items if kept else stored(items)
     classes = durable(items.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
     members = items.join(classes, ["n", "h1", "h2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"), "keys")
-    reps = durable(members.where("id = rep and n > 0").select("id", "n", "keys").dropDuplicates(["id", "n", "keys"]))
+    reps = stored(members.where("id = rep and n > 0").select("id", "n", "keys").dropDuplicates(["id", "n", "keys"]))
     lists = durable(postings(reps, min_shared).repartition("token"))
     busy = lists.groupBy("token").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low <> _high").select("token")
     lists = durable(lists.join(busy, "token").select("token", "id", "n"))
@@ -185,7 +186,7 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
     release(items.sparkSession)
     sets = sets_of(involved).repartition("id").persist(StorageLevel.DISK_ONLY)
     labels = durable(involved.select("id", F.col("id").alias("component")))
-    signs = durable(reps.join(involved, "id", "left_semi"))
+    signs = stored(reps.join(involved, "id", "left_semi"))
     for turn in range(ROUNDS):
         placed = lists.join(labels, "id")
         groups = durable(placed.groupBy("token").agg(

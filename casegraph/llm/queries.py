@@ -72,7 +72,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -1,4 +1,4 @@
-"""Substring dedup by paragraphs: MinHash banding, exact Jaccard, components.
+"""Substring dedup: paragraphs by MinHash banding, exact Jaccard and components, and passages inside them.
 
 Paragraphs are a text's lines of MIN_WORDS words or more; a paragraph's set is
 its distinct shingles of SHINGLE words (between ASCII blanks, A-Z in lower
@@ -9,6 +9,11 @@ components, and all of a component's paragraphs but the first (by document id,
 then place) are removals. How frequent paragraphs are linked without all their
 pairs is told in linking.py.
 
+Passages inside longer lines, or across lines, are windows of WINDOW words that
+begin at anchors: at the smallest hash of three words among REACH neighbouring
+places. Texts that share REACH + WINDOW - 1 words share a window. Equal windows
+(by 128-bit hashes) are a class; neighbours of a text are merged to one span.
+
 Null, empty and short-lined texts have no paragraphs. Rows without an id are
 left out; rows that share an id are one document whose paragraphs of one place
 are linked by any of their texts. Document ids lie within 2**37 of zero. Empty
@@ -21,17 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casegraph.llm import kernels as K
 from casegraph.llm.linking import components
 from casegraph.llm.near_dups import minima, set_hashes
-from casegraph.operators.graph import stored
+from casegraph.operators.graph import release, stored
 
 MIN_WORDS = 25
 SHINGLE = 5
 BANDS, ROWS = 14, 3
 PERCENT = 80
+#: Texts that share 51 words in a row share a window.
+WINDOW, REACH = 28, 24
 #: A paragraph's id is its document's id times this plus its number in the document.
 PLACES = 1 << 25
 
@@ -107,7 +114,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per paragraph that has a similar one: its document, place in bytes, words, class and whether it is removed."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where("doc is not null")
     found = stored(paragraph_items(rows, min_words))
-    linked = components(found.select("id", "n", "h1", "h2", "keys"), lambda ids: paragraph_sets(rows, ids, min_words), 1, percent)
+    linked = components(found.select("id", "n", "h1", "h2", "keys"), lambda ids: paragraph_sets(rows, ids, min_words), 1, percent, kept=True)
     linked = stored(linked.select("id", "component").distinct())
     size = linked.groupBy("component").agg(F.count("*").alias("class_size")).where("class_size > 1")
     several = linked.join(size, "component")
@@ -119,9 +126,87 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
+def window_starts(word: np.ndarray, row: np.ndarray, n_rows: int, window: int = WINDOW, reach: int = REACH) -> np.ndarray:
+    """First words of the windows of a slice of texts."""
+    count = np.bincount(row, minlength=n_rows)
+    first = np.cumsum(count) - count
+    valid = np.maximum(count - window + 1, 0)
+    if not valid.any():
+        return np.zeros(0, np.int64)
+    mult = K.powers(4, 0xD6E8FEB86659FD93)[0]
+    g = K.mix(word[:-2] * mult[1] + word[1:-1] * mult[2] + word[2:] * mult[3])
+    blocks = -(-(len(g) + reach) // reach)
+    key = np.full(blocks * reach, np.iinfo(np.uint64).max, K.U64)
+    low = K.U64(1023)
+    key[: len(g)] = (g & ~low) | (np.arange(len(g)) % reach).astype(K.U64)
+    grid = key.reshape(blocks, reach)
+    head = np.minimum.accumulate(grid, axis=1).ravel()
+    tail = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    at = np.flatnonzero(valid >= reach)
+    n = valid[at] - reach + 1
+    p = np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    take = (tail[p] & ~low) <= (head[p + reach - 1] & ~low)
+    base = np.where(take, p // reach, (p + reach - 1) // reach) * reach
+    found = base + (np.where(take, tail[p], head[p + reach - 1]) & low).astype(np.int64)
+    short = np.flatnonzero((valid > 0) & (valid < reach))
+    few = [first[r] + int(np.argmin(g[first[r] : first[r] + valid[r]] & ~low)) for r in short]
+    return np.union1d(found, np.array(few, np.int64))
+
+
+def windows(rows: DataFrame, spans: bool) -> DataFrame:
+    """(h1) of the windows of rows (doc, text), or with their places (doc, first, last, h1, h2)."""
+    names = ["doc", "first", "last", "h1", "h2"] if spans else ["h1"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in K.text_slices(batch.column(1)):
+                word, start, end, row = K.words(data, offsets)
+                at = window_starts(word, row, j - i)
+                if not len(at):
+                    continue
+                h1 = pa.array(K.Prefix(word).spans(at, at + WINDOW).view(np.int64))
+                if not spans:
+                    yield pa.RecordBatch.from_arrays([h1], names=names)
+                    continue
+                h2 = pa.array(K.Prefix(word, 0xC2B2AE3D27D4EB4F).spans(at, at + WINDOW).view(np.int64))
+                begin = offsets[row[at]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[at] + i)), pa.array((start[at] - begin).astype(np.int32)), pa.array((end[at + WINDOW - 1] - begin).astype(np.int32)), h1, h2], names=names)
+
+    return rows.mapInArrow(run, "doc long, first int, last int, h1 long, h2 long" if spans else "h1 long")
+
+
+def merged_spans(df: DataFrame, *keys: str) -> DataFrame:
+    """Overlapping or touching (first, last) of equal keys as one, with the number of windows, the largest class and its first document."""
+    w = Window.partitionBy(*keys).orderBy("first", "last")
+    fresh = F.coalesce(F.col("first") > F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    island = df.withColumn("_new", fresh.cast("int")).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return island.groupBy(*keys, "_island").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("class_size").alias("class_size"), F.min("class_doc_id").alias("class_doc_id")).drop("_island")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per span of repeated windows: document, place in bytes, class and whether it is removed."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where("doc is not null")
+    busy = stored(windows(rows, False).groupBy("h1").agg(F.count("*").alias("_n")).where("_n > 1").select("h1"))
+    release(docs.sparkSession)
+    held = stored(windows(rows, True).join(busy, "h1"))
+    classes = stored(held.groupBy("h1", "h2").agg(F.count("*").alias("class_size"), F.min(F.struct("doc", "first")).alias("_one")).where("class_size > 1"))
+    placed = held.join(classes, ["h1", "h2"])
+    placed = placed.select("doc", "first", "last", "class_size", F.col("_one.doc").alias("class_doc_id"), ((F.col("doc") != F.col("_one.doc")) | (F.col("first") != F.col("_one.first"))).alias("removed"))
+    spans = merged_spans(placed.distinct(), "doc", "removed")
+    return spans.select(F.col("doc").alias(id_col), F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "class_size", "class_doc_id", "removed")
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Repeated paragraphs and passages of all documents, told apart by kind."""
+    passages = stored(repeated_passages(docs, id_col, text_col))
+    release(docs.sparkSession)
+    names = [id_col, "kind", "first", "last", "class_size", "class_doc_id", "removed"]
+    return repeated_paragraphs(docs, id_col, text_col).withColumn("kind", F.lit("paragraph")).select(names).unionByName(passages.withColumn("kind", F.lit("passage")).select(names))
+
+
 def remove_paragraphs(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the removed paragraphs' bytes cut out of their texts."""
-    cuts = repeated.where("removed").groupBy(F.col(id_col).alias("_doc")).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_cuts"))
+    """docs with the removed spans' bytes cut out of their texts."""
+    cuts = merged_spans(repeated.where("removed"), id_col).groupBy(F.col(id_col).alias("_doc")).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("_cuts"))
     met = docs.join(cuts, docs[id_col] == F.col("_doc"), "left")
     raw = F.col(text_col).cast("binary")
     size = F.octet_length(F.col(text_col)).cast("long")

@@ -304,6 +304,35 @@ def test_repeated_paragraphs(spark):
     assert substring_dedup.repeated_paragraphs(frame(spark, [])).count() == 0
 
 
+def test_repeated_passages(spark):
+    rng = random.Random(17)
+    shared = [made_words(rng, rng.randint(51, 90), 3000) for _ in range(5)]
+    texts, holds = list(ODD[:8]), set()
+    for _ in range(60):
+        parts = [made_words(rng, rng.randint(0, 60), 3000) for _ in range(2)]
+        if rng.random() < 0.6:
+            k = rng.randrange(5)
+            parts.insert(1, shared[k])
+            holds.add((len(texts), k))
+        texts.append(rng.choice([" ", "\n"]).join(parts))
+    used = collections.Counter(k for _, k in holds)
+    want = {i for i, k in holds if used[k] > 1}
+    docs = frame(spark, texts)
+    found = substring_dedup.repeats(docs)
+    got = found.collect()
+    assert want == {r.doc_id for r in got}
+    first = {k: min(i for i, x in holds if x == k) for k in used}
+    assert {r.doc_id for r in got if r.removed} == {i for i, k in holds if i != first[k]}
+    fold = lambda t: " ".join((t or "").split()).translate(LOWER)
+    for r in (r for r in got if r.kind == "passage"):
+        span = fold((texts[r.doc_id] or "").encode()[r.first : r.last].decode())
+        assert sum(" ".join(span.split()[:10]) in fold(t) for t in texts) >= 2
+    kept = {r.doc_id: r.text for r in substring_dedup.remove_paragraphs(docs, found).collect()}
+    assert all(len(kept[i]) < len(texts[i]) - 100 for i, k in holds if i != first[k])
+    assert all(kept[i] == t for i, t in enumerate(texts) if i not in want)
+    assert substring_dedup.repeats(frame(spark, [])).count() == 0
+
+
 # --- 6: decontamination ---
 
 
