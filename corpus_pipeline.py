@@ -29,12 +29,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that a smaller doc_id holds; one that loses all its lines goes."""
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
+    # the text goes along once, as lines
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*rest, F.col("text").isNull().alias("_none")).alias("_row"), F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
     out = line_dedup.kept_text(line_dedup.dedup_lines(rows, "_doc", "_text", keep=("_row",)))
     out = out.where(~((F.size("_dropped") > 0) & (F.size("_dropped") == F.size("_lines"))))
-    text = F.when(F.col("_row.text").isNull(), None).otherwise(F.col("_kept"))
+    text = F.when(~F.col("_row._none"), F.col("_kept"))
     columns = {"text": text, "n_chars": F.when(F.size("_dropped") > 0, F.length("_kept").cast("long")).otherwise(F.col("_row.n_chars"))}
-    return out.select(*[columns.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
