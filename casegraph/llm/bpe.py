@@ -265,6 +265,24 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, n_tokens long, ids binary, piece_sizes binary")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", out: str = "decoded") -> DataFrame:
+    """(id, n_tokens, ids, out): encode() and decode() in one worker, so that a task holds one table of pieces."""
+    sent, key = _sent(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(sent, key)
+        for batch in batches:
+            for i, j, data, offsets in K.text_slices(batch.column(1)):
+                ids, sizes, tokens, pieces = codec.encode(data, offsets)
+                text, lengths = codec.decode(ids.astype(np.int64), sizes.astype(np.int64))
+                row = np.repeat(np.arange(j - i), pieces)
+                size = np.bincount(row, lengths, minlength=j - i).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(tokens), _cut(ids.astype("<u4"), tokens), _cut(text, size)], names=[id_col, "n_tokens", "ids", out])
+
+    source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    return source.mapInArrow(run, f"`{id_col}` {source.schema[0].dataType.simpleString()}, n_tokens long, ids binary, `{out}` binary")
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", sizes_col: str | None = "piece_sizes", out: str = "decoded") -> DataFrame:
     """Adds the bytes of each row's ids. Without sizes_col each row is one sequence."""
     sent, key = _sent(encoded, path)

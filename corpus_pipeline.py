@@ -54,8 +54,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as token ids, with a digest of the text that these decode to."""
-    path = public_tokenizers.path(VOCABULARY)
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.round_trip(docs, public_tokenizers.path(VOCABULARY))
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

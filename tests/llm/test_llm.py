@@ -91,6 +91,8 @@ def test_bpe_encodes_as_the_library_and_decodes(spark, encoding):
         want = encoding.encode_ordinary(texts[r.doc_id] or "")
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want and r.n_tokens == len(want)
         assert bytes(r.decoded) == (texts[r.doc_id] or "").encode()
+    both = {r.doc_id: (bytes(r.ids), bytes(r.decoded), r.n_tokens) for r in bpe.round_trip(frame(spark, texts), MULTI).collect()}
+    assert both == {r.doc_id: (bytes(r.ids), bytes(r.decoded), r.n_tokens) for r in out}
     whole = bpe.decode(bpe.encode(frame(spark, texts[:20]), MULTI).select("doc_id", "ids"), MULTI, sizes_col=None).collect()
     assert all(bytes(r.decoded) == (texts[r.doc_id] or "").encode() for r in whole)
     assert bpe.encode(frame(spark, []), MULTI).count() == 0
