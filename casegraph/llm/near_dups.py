@@ -2,10 +2,9 @@
 
 A document's set is its distinct shingles of SHINGLE words (between ASCII
 blanks, A-Z in lower case); fewer words are one shingle. Signatures have COORDS
-minima; candidates agree on MIN_SHARED or more. At a similarity of 0.85 the
-number that agree is binomial with mean 54.4 and deviation 2.9, so a pair at the
-threshold itself is missed with a probability of about 1e-5, a closer one less.
-Links are confirmed on the full sets.
+minima; candidates agree on shared_at(percent) or more. The number that agree is
+binomial, so a pair at the threshold itself is missed with a probability of at
+most MISSED, a closer one less. Links are confirmed on the full sets.
 
 Null, empty and blank texts have empty sets and are linked with nothing. Rows
 without an id are left out; rows that share an id are one document. An empty
@@ -15,6 +14,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,19 @@ from casegraph.llm.linking import components
 
 SHINGLE = 5
 COORDS = 64
-MIN_SHARED = 41
 PERCENT = 85
+#: Probability at most of missing a pair whose similarity is the threshold itself.
+MISSED = 1e-5
+
+
+def shared_at(percent: int, coords: int = COORDS) -> int:
+    """Coordinates that candidates must share: 41 of 64 at 85 percent, 36 at 80."""
+    p, below = percent / 100, 0.0
+    for k in range(coords):
+        below += comb(coords, k) * p**k * (1 - p) ** (coords - k)
+        if below > MISSED:
+            return max(k, 1)
+    return coords
 
 
 def hash_family(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,9 +102,9 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_c
     return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, set array<long>")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_shared: int = MIN_SHARED) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_shared: int | None = None) -> DataFrame:
     """(id, n, component): one row per row of docs; the component is the smallest id reachable over links."""
-    return components(signatures(docs, id_col, text_col), lambda ids: shingle_sets(docs, ids, id_col, text_col), min_shared, percent)
+    return components(signatures(docs, id_col, text_col), lambda ids: shingle_sets(docs, ids, id_col, text_col), min_shared or shared_at(percent), percent)
 
 
 #: DuckDB SQL for the query op5: all pairs that share a shingle, counted, then reachability.

@@ -18,6 +18,8 @@ from casegraph.operators.graph import shared_folder
 
 #: Documents that score less are rejected.
 QUALITY = 0.3
+#: Documents are near copies from this similarity on; op5's 85 is its own contract.
+NEAR_PERCENT = 80
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -41,7 +43,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id."""
-    found = near_dups.near_duplicates(docs)
+    found = near_dups.near_duplicates(docs, percent=NEAR_PERCENT)
     gone = found.where("id <> component").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 

@@ -486,3 +486,24 @@ def test_pipeline(spark, tmp_path, encoding):
         assert got[i].ids_sha256 == hashlib.sha256(np.array(encoding.encode_ordinary(t), "<u4").tobytes()).hexdigest()
         assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
     assert not set(junk) & set(got) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_pipeline_drops_near_copies_from_80_percent_on(spark):
+    import corpus_pipeline
+
+    rng = random.Random(18)
+    texts = []
+    for _ in range(40):
+        w = made_words(rng, 103, 3000).split()
+        # 99 shingles; each new word changes five: similarity 89/109 with two of them, 84/114 with three
+        near, far = list(w), list(w)
+        near[50], near[-5] = "once", "twice"
+        far[30], far[50], far[70] = "once", "twice", "thrice"
+        texts += [" ".join(x) for x in (w, near, far)]
+    sets = {i: shingle_set(t) for i, t in enumerate(texts)}
+    want, at_85 = grouped(sets, 80), grouped(sets, 85)
+    assert all(want[i] == i - i % 3 and at_85[i] == i for i in range(1, len(texts), 3)) and all(want[i] == i for i in range(2, len(texts), 3))
+    docs = frame(spark, texts)
+    got = {r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, "").collect()}
+    assert got == {i for i in want if want[i] == i}
+    assert (near_dups.shared_at(85), near_dups.shared_at(80)) == (41, 36)
