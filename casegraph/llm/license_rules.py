@@ -1,8 +1,9 @@
 """Signature rules of the license scan, in order of priority.
 
-A rule reads the normalised words of a text, joined by single spaces. Its gate
-is one of GATES, so a text without any gate word is never matched against rules;
-its keyword must stand in the text before its pattern is tried.
+A rule reads the normalised words of a text, joined by single spaces. Its keyword
+stands in all that its pattern matches, and so does one of GATES: a name's
+pattern whose alternatives share no keyword is several rules. So neither loses a
+match; they only spare texts the patterns.
 """
 
 from __future__ import annotations
@@ -22,18 +23,16 @@ class Rule(NamedTuple):
 #: Phrases whose consecutive words are the base detections, and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-GATES = ("licen", "copyright", "spdx", "permission", "redistribution", "creative", "warrant", " cc ", "public domain", "gpl")
-
 #: (label, SPDX name as words, keyword, pattern of the license's name)
 FAMILIES = (
-    ("mit", "mit", "mit", "mit"),
-    ("mit-0", "mit 0", "mit", "mit (?:no attribution|0)"),
+    ("mit", "mit", " mit ", "mit"),
+    ("mit-0", "mit 0", " mit ", "mit (?:no attribution|0)"),
     ("apache-2", "apache 2 0", "apache", "apache(?: software)?(?: licen[sc]e)?(?: version)? (?:v2|2)(?: 0)?"),
     ("apache-1.1", "apache 1 1", "apache", "apache(?: software)?(?: licen[sc]e)?(?: version)? 1 1"),
     ("bsd-2-clause", "bsd 2 clause", "bsd", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"),
     ("bsd-3-clause", "bsd 3 clause", "bsd", "(?:(?:new|revised|modified) bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4-clause", "bsd 4 clause", "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)"),
-    ("0bsd", "0bsd", "0bsd", "(?:0bsd|zero clause bsd)"),
+    ("0bsd", "0bsd", "bsd", "(?:0bsd|zero clause bsd)"),
     ("gpl-2", "gpl 2 0", "gpl", "(?:gnu )?gpl(?: version)? (?:v2|2)(?: 0)?"),
     ("gpl-3", "gpl 3 0", "gpl", "(?:gnu )?gpl(?: version)? (?:v3|3)(?: 0)?"),
     ("gpl-2", "gpl 2 0 only", "general public", "gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? version 2"),
@@ -49,7 +48,7 @@ FAMILIES = (
     ("epl-1", "epl 1 0", "eclipse", "eclipse public licen[sc]e(?: version)?(?: v)? 1(?: 0)?"),
     ("epl-2", "epl 2 0", "eclipse", "eclipse public licen[sc]e(?: version)?(?: v)? 2(?: 0)?"),
     ("cddl-1", "cddl 1 0", "common development", "common development and distribution licen[sc]e"),
-    ("isc", "isc", "isc", "isc"),
+    ("isc", "isc", " isc ", "isc"),
     ("zlib", "zlib", "zlib", "zlib(?: libpng)?"),
     ("unlicense", "unlicense", "unlicense", "(?:the )?unlicense"),
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
@@ -65,18 +64,20 @@ FAMILIES = (
     ("odbl-1", "odbl 1 0", "open database", "open database licen[sc]e"),
     ("odc-by-1", "odc by 1 0", "open data commons", "open data commons attribution licen[sc]e"),
     ("cc0-1", "cc0 1 0", "cc0", "cc0(?: 1 0)?(?: universal)?"),
-    ("cc-by", "cc by", "cc", "(?:cc|creative commons) (?:by|attribution)(?! (?:nc|sa|nd|noncommercial|sharealike|noderivatives|non|share|no) )"),
-    ("cc-by-sa", "cc by sa", "cc", "cc by sa"),
-    ("cc-by-nd", "cc by nd", "cc", "cc by nd"),
-    ("cc-by-nc", "cc by nc", "cc", "cc by nc(?! (?:sa|nd) )"),
-    ("cc-by-nc-sa", "cc by nc sa", "cc", "cc by nc sa"),
-    ("cc-by-nc-nd", "cc by nc nd", "cc", "cc by nc nd"),
+    ("cc-by", "cc by", " cc ", "cc (?:by|attribution)(?! (?:nc|sa|nd|noncommercial|sharealike|noderivatives|non|share|no) )"),
+    ("cc-by", "cc by 4 0", "creative commons", "creative commons (?:by|attribution)(?! (?:nc|sa|nd|noncommercial|sharealike|noderivatives|non|share|no) )"),
+    ("cc-by-sa", "cc by sa", " cc ", "cc by sa"),
+    ("cc-by-nd", "cc by nd", " cc ", "cc by nd"),
+    ("cc-by-nc", "cc by nc", " cc ", "cc by nc(?! (?:sa|nd) )"),
+    ("cc-by-nc-sa", "cc by nc sa", " cc ", "cc by nc sa"),
+    ("cc-by-nc-nd", "cc by nc nd", " cc ", "cc by nc nd"),
     ("cc-by-sa", "cc by sa 4 0", "creative", "creative commons attribution share ?alike"),
     ("cc-by-nc", "cc by nc 4 0", "creative", "creative commons attribution non ?commercial(?! (?:share|no) )"),
     ("gfdl", "gfdl 1 3", "free documentation", "gnu free documentation licen[sc]e"),
 )
 
 #: (priority, confidence, pattern) around a name; they differ in how sure the wording is.
+#: FORM_GATES has the words of which each form holds one.
 FORMS = (
     (1, 1.0, "spdx licen[sc]e identifier {spdx}"),
     (2, 0.95, "(?:is |are )?(?:dual )?licen[sc]ed (?:to you )?(?:under|by|with) (?:the )?(?:terms of )?(?:the )?{name}(?: licen[sc]e)?"),
@@ -85,6 +86,8 @@ FORMS = (
     (5, 0.7, "(?:the )?{name} licen[sc]e"),
 )
 
+FORM_GATES = ("spdx", "licen", *(f"{verb} {by} " for verb in ("released", "distributed", "available", "published", "provided", "covered") for by in ("under", "by")))
+
 #: (label, priority, keyword, pattern, confidence)
 SINGLE = (
     ("mit", 1, "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software", 1.0),
@@ -96,7 +99,7 @@ SINGLE = (
     ("public-domain", 4, "public domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain", 0.8),
     ("public-domain", 6, "public domain", "(?:is|are) in the public domain", 0.6),
     ("gpl", 4, "general public", "gnu general public licen[sc]e(?: or any later version)?", 0.8),
-    ("lgpl", 4, "lesser", "gnu (?:lesser|library) general public licen[sc]e", 0.8),
+    ("lgpl", 4, "general public", "gnu (?:lesser|library) general public licen[sc]e", 0.8),
     ("gpl", 2, "free software", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", 0.95),
     ("lgpl", 2, "free software", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[sc]e", 0.95),
     ("apache-2", 1, "apache", "you may not use this file except in compliance with the licen[sc]e you may obtain a copy of the licen[sc]e at https? www apache org licen[sc]es licen[sc]e 2 0", 1.0),
@@ -114,6 +117,8 @@ SINGLE = (
     ("proprietary", 4, "proprietary", "(?:this|the) [^ ]+ is proprietary (?:and confidential|software)", 0.7),
 )
 
+GATES = tuple(dict.fromkeys((*FORM_GATES, *(keyword for _, _, keyword, _, _ in SINGLE))))
+
 
 def rules() -> list[Rule]:
     """All rules; the identifier is the place in this order and breaks ties of equal priority."""

@@ -213,6 +213,58 @@ def test_license_scan(spark):
     assert [r.labels for r in twice] == ["mit"] * 3
 
 
+def rule_samples(pattern):
+    """Texts that a pattern matches: each alternative and each optional part at least once."""
+    from re import _parser
+
+    def of(items):
+        outs = [""]
+        for op, arg in items:
+            op = str(op)
+            if op == "LITERAL":
+                more = [chr(arg)]
+            elif op == "IN":
+                more = [x for o, v in arg for x in ([chr(v)] if str(o) == "LITERAL" else [chr(v[0])] if str(o) == "RANGE" else ["x"])]
+            elif op == "NOT_LITERAL":
+                more = ["x"]
+            elif op == "BRANCH":
+                more = [x for branch in arg[1] for x in of(branch)]
+            elif op == "SUBPATTERN":
+                more = of(arg[3])
+            elif op == "MAX_REPEAT":
+                low, high, sub = arg
+                one = of(sub)
+                more = [""] * (low == 0) + one * (high > 0)
+            else:
+                assert op == "ASSERT_NOT", op
+                more = [""]
+            # all of the new parts, each after one of the earlier texts
+            outs = [outs[k % len(outs)] + more[k % len(more)] for k in range(max(len(outs), len(more)))] + [o + more[0] for o in outs[:2]]
+            outs = list(dict.fromkeys(outs))
+        return outs
+
+    return [x for x in of(_parser.parse(pattern)) if re.search(f" {pattern}(?= )", f" {x} ")]
+
+
+def test_license_prefilter_loses_no_match(spark, monkeypatch):
+    rules = license_scan.rules()
+    samples = {r.rule_id: rule_samples(r.pattern) for r in rules}
+    for r in rules:
+        assert samples[r.rule_id], r
+        for x in samples[r.rule_id]:
+            assert r.keyword in f" {x} " and any(g in f" {x} " for g in license_scan.GATES), (r, x)
+    lines = [
+        "this work is licensed under the creative commons attribution 4.0 international license", "released under the zero clause bsd license", "the gnu library general public license",
+        "this code is released under mit", "distributed under wtfpl", "this software is proprietary and confidential", "published by the isc", "freebsd license",
+    ]
+    texts = [*lines, *[x for r in rules for x in samples[r.rule_id][:2]]]
+    got = {r.doc_id: tuple(r)[1:] for r in license_scan.scan_licenses(frame(spark, texts)).collect()}
+    monkeypatch.setattr(license_scan, "GATES", ("",))
+    monkeypatch.setattr(license_scan, "rules", lambda: [r._replace(keyword="") for r in rules])
+    assert got == {i: license_brute(t) for i, t in enumerate(texts)}
+    assert [got[i][5] for i in range(len(lines))] == ["cc-by", "0bsd", "lgpl", "mit", "wtfpl", "proprietary", "isc", "bsd-2-clause"]
+
+
 # --- 5 and 8: similar sets ---
 
 
