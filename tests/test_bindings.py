@@ -53,3 +53,12 @@ def test_entry(spark):
 
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_verify_metrics_matches_whole_items(spark, tmp_path):
+    items = [f"item {i} opens with the same sixty characters in all of its copies, {end}" for i, end in enumerate(("but ends so", "and ends here"))]
+    texts = [f"before {items[0][:70]} something else", f"before {items[1]} after", None]
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = bindings.verify_metrics(spark, str(tmp_path)).collect()
+    assert [(r.truth_count, r.pipeline_count, r.true_positive, r.false_negative, r.false_positive) for r in got] == [(2, 3, 1, 1, 2)]
