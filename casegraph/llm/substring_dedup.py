@@ -1,7 +1,7 @@
 """Substring dedup: paragraphs by MinHash banding, exact Jaccard and components, and passages inside them.
 
-Paragraphs are a text's lines of MIN_WORDS words or more; a paragraph's set is
-its distinct shingles of SHINGLE words (between ASCII blanks, A-Z in lower
+Paragraphs are a text's lines of MIN_WORDS words or more, in repeats() of SHINGLE
+words or more; a paragraph's set is its distinct shingles of SHINGLE words (between ASCII blanks, A-Z in lower
 case). Each is posted under BANDS bands of ROWS minima: at a similarity of 0.8
 two paragraphs share a band with a probability over 0.9999. Colliding paragraphs
 are verified by exact Jaccard similarity on the full sets, links become
@@ -196,12 +196,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return spans.select(F.col("doc").alias(id_col), F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "class_size", "class_doc_id", "removed")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Repeated paragraphs and passages of all documents, told apart by kind."""
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = SHINGLE) -> DataFrame:
+    """Repeated paragraphs and passages of all documents, told apart by kind; lines from one shingle on are paragraphs."""
     passages = stored(repeated_passages(docs, id_col, text_col))
     release(docs.sparkSession)
     names = [id_col, "kind", "first", "last", "class_size", "class_doc_id", "removed"]
-    return repeated_paragraphs(docs, id_col, text_col).withColumn("kind", F.lit("paragraph")).select(names).unionByName(passages.withColumn("kind", F.lit("passage")).select(names))
+    return repeated_paragraphs(docs, id_col, text_col, min_words=min_words).withColumn("kind", F.lit("paragraph")).select(names).unionByName(passages.withColumn("kind", F.lit("passage")).select(names))
 
 
 def remove_paragraphs(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

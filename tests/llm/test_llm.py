@@ -387,6 +387,15 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeats(frame(spark, [])).count() == 0
 
 
+def test_repeats_hold_short_paragraphs(spark):
+    rng = random.Random(19)
+    short = [made_words(rng, n, 3000) for n in (5, 9, 16, 24)]
+    close = short[3].rsplit(" ", 1)[0] + " other"
+    texts = [f"{made_words(rng, 40, 3000)}\n{x}\nfew words here" for x in [*short, *short, short[1].upper().replace("É", "é"), close]]
+    found = {(r.doc_id, r.class_doc_id, r.class_size) for r in substring_dedup.repeats(frame(spark, texts)).where("removed and kind = 'paragraph'").collect()}
+    assert found == {(4, 0, 2), (5, 1, 3), (6, 2, 2), (7, 3, 3), (8, 1, 3), (9, 3, 3)}
+
+
 # --- 6: decontamination ---
 
 
