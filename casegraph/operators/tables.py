@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from casegraph.operators.graph import stored
+
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row per key: the first in the order."""
@@ -21,10 +23,11 @@ def top_k(df: DataFrame, keys: list[str], k: int, *order: Column) -> DataFrame:
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """Adds a dense index from 0 in a total order, without one task that holds all rows.
 
-    Rows are range-partitioned and sorted; a row's index is its place in its partition after the counts of those before.
+    Rows are range-partitioned, sorted and stored once with their partition and place, since range bounds are
+    sampled anew in each run; a row's index is its place after the counts of the partitions before.
     """
     part = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    part = part.withColumn("_seq", F.monotonically_increasing_id())
+    part = stored(part.withColumn("_seq", F.monotonically_increasing_id()))
     counts = part.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_seq").alias("_base"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return part.join(F.broadcast(before.select("_part", "_base", "_before")), "_part").withColumn(name, F.col("_before") + F.col("_seq") - F.col("_base")).drop("_part", "_seq", "_base", "_before")

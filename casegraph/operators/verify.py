@@ -2,30 +2,53 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casegraph.operators.graph import durable
+from casegraph.operators.graph import connected_components, durable
 
+#: Candidate pairs of one component that a task walks in order; larger components are matched in rounds.
+WALKED = 50_000
 
-def greedy_matches(candidates: DataFrame, truth: str = "truth_id", case: str = "case_id", max_rounds: int = 200) -> DataFrame:
+
+def _walk(table: pa.Table) -> pa.Table:
+    """The sequential greedy matches of one component."""
+    pairs = sorted(set(zip(table["t"].to_pylist(), table["c"].to_pylist())))
+    matched, used = {}, set()
+    for t, c in pairs:
+        if t not in matched and c not in used:
+            matched[t] = c
+            used.add(c)
+    return pa.table({"t": pa.array(matched, table["t"].type), "c": pa.array(matched.values(), table["c"].type)})
+
+
+def greedy_matches(candidates: DataFrame, truth: str = "truth_id", case: str = "case_id", walked: int = WALKED) -> DataFrame:
     """One-to-one matches in the order of truth, then of cases.
 
-    In each round every open truth row asks for its first open case and the
-    smallest asker of a case gets it, unless an earlier truth row could still
-    want it; that gives the sequential result without one task that walks all rows.
+    Rows of different components of the candidate graph can't take each other's
+    cases, so components of up to walked pairs are walked by a task each. Larger
+    ones are matched in rounds, until no candidate is left: every open truth row
+    asks for its first open case, and the smallest asker of a case gets it unless
+    an earlier truth row could still want it. The first open truth row wins in
+    every round, so rounds end; the result is that of one sequential walk.
     """
-    left = durable(candidates.select(F.col(truth).alias("t"), F.col(case).alias("c")).distinct())
-    done = None
-    for _ in range(max_rounds):
+    pairs = durable(candidates.select(F.col(truth).alias("t"), F.col(case).alias("c")).where("t is not null and c is not null").distinct())
+    node = lambda side, c: F.struct(F.lit(side).alias("side"), F.col(c).cast("string").alias("key"))
+    parts = durable(connected_components(pairs.select(node(0, "t").alias("src"), node(1, "c").alias("dst"))))
+    of = parts.where("id.side = 0").select(F.col("id.key").alias("_t"), F.col("component.key").alias("_part"))
+    placed = pairs.join(of, F.col("t").cast("string") == F.col("_t")).select("t", "c", "_part")
+    size = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    large = durable(size.where(F.col("_n") > walked).select("_part"))
+    kinds = pairs.dtypes
+    done = placed.join(large, "_part", "left_anti").groupBy("_part").applyInArrow(lambda x: _walk(x), ", ".join(f"{n} {k}" for n, k in kinds))
+    left = durable(placed.join(large, "_part", "left_semi").select("t", "c"))
+    while not left.isEmpty():
         asks = left.groupBy("t").agg(F.min("c").alias("c"))
         first = left.groupBy("c").agg(F.min("t").alias("_first"))
         won = durable(asks.join(first, "c").where(F.col("t") == F.col("_first")).select("t", "c"))
-        if won.isEmpty():
-            break
-        done = won if done is None else done.unionByName(won)
+        done = done.unionByName(won)
         left = durable(left.join(won.select("t"), "t", "left_anti").join(won.select("c"), "c", "left_anti").select("t", "c"))
-    out = done if done is not None else left
-    return out.select(F.col("t").alias(truth), F.col("c").alias(case))
+    return done.select(F.col("t").alias(truth), F.col("c").alias(case))
 
 
 def metrics(n_truth: DataFrame, n_cases: DataFrame, matches: DataFrame) -> DataFrame:
