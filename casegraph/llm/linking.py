@@ -22,13 +22,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegraph.operators.graph import connected_components, durable, release, stored
+from casegraph.operators.graph import connected_components, discard, durable, release, stored
 
 #: Members of a posting list or followers of a leader that one task gets at once.
 FOLLOWERS = 2048
+#: Elements of the sets of one block, so that a task's memory is bounded where sets are large (8 bytes each).
+ELEMENTS = 1 << 20
 #: Lists up to this length are paired directly.
 SHORT = 48
 #: Rounds of leaders for lists of several blocks, at most.
@@ -45,16 +46,26 @@ def size_fits(n_a: Column, n_b: Column, percent: int) -> Column:
 
 
 def postings(reps: DataFrame, min_shared: int) -> DataFrame:
-    """(token, id, n) of the prefixes of (id, n, keys), by rising frequency of the tokens."""
-    tokens = reps.select("id", F.posexplode("keys").alias("_pos", "_value"))
-    tokens = tokens.select("id", F.xxhash64("_pos", "_value").alias("token")).repartition("token")
-    shared = tokens.groupBy("token").agg(F.count("*").alias("_f")).where("_f > 1")
+    """(token, id, n) of the prefixes of (id, n, keys), by rising frequency of the tokens; each token stands in several sets.
+
+    Frequencies are partial aggregations and the join with them is one that Spark
+    splits, so a token that a third of all sets share isn't one task's.
+    """
+    tokens = reps.select("id", "n", F.size("keys").alias("_k"), F.posexplode("keys").alias("_pos", "_value"))
+    tokens = tokens.select("id", F.col("n").cast("int").alias("n"), F.col("_k").cast("short").alias("_k"), F.xxhash64("_pos", "_value").alias("token"))
+    shared = stored(tokens.groupBy("token").agg(F.count("*").alias("_f")).where("_f > 1"))
+    release(reps.sparkSession)
+    if min_shared == 1:
+        return stored(tokens.join(shared.select("token"), "token").select("token", "id", "n"))
     met = tokens.join(shared, "token")
-    mine = met.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("_all"))
-    mine = mine.join(reps.select("id", "n", F.size("keys").alias("_k")).dropDuplicates(["id"]), "id")
+    mine = met.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_f", "token"))).alias("_all"), F.max("n").alias("n"), F.max("_k").alias("_k"))
     # _all leaves out the tokens that no other set has; they are the rarest
     room = F.greatest(F.col("_k") - F.lit(min_shared) + 1 - (F.col("_k") - F.size("_all")), F.lit(0))
-    return mine.select("id", "n", F.explode(F.slice("_all", F.lit(1), room)).alias("_t")).select(F.col("_t.token").alias("token"), "id", "n")
+    lists = stored(mine.select("id", "n", F.explode(F.slice("_all", F.lit(1), room)).alias("_t")).select(F.col("_t.token").alias("token"), "id", "n"))
+    busy = stored(lists.groupBy("token").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low <> _high").select("token"))
+    out = stored(lists.join(busy, "token").select("token", "id", "n"))
+    discard(shared, lists, busy)
+    return out
 
 
 def collisions(pairs: DataFrame, reps: DataFrame, min_shared: int) -> DataFrame:
@@ -89,9 +100,10 @@ def _block(table: pa.Table, min_shared: int, percent: int) -> pa.Table:
     distinct, code, count = np.unique(other[lower], return_inverse=True, return_counts=True)
     common = np.full(len(distinct), -1)
     common[count > 1] = np.arange((count > 1).sum())
-    met = np.zeros((len(ids), max((count > 1).sum(), 1)), np.float32)  # smaller tokens, under which a pair is met instead
+    # smaller tokens, under which a pair is met instead, as bits
+    met = np.zeros((len(ids), max((count > 1).sum(), 1) // 8 + 1), np.uint8)
     hit = common[code] >= 0
-    met[holder[lower][hit], common[code][hit]] = 1
+    np.bitwise_or.at(met, (holder[lower][hit], common[code][hit] // 8), (1 << (common[code][hit] % 8)).astype(np.uint8))
     sets = table["set"].combine_chunks()
     begin, flat = sets.offsets.to_numpy(), sets.flatten().to_numpy()
     flat, begin = flat, begin - begin[0]
@@ -111,7 +123,7 @@ def _block(table: pa.Table, min_shared: int, percent: int) -> pa.Table:
 
     def row(i: int) -> np.ndarray:
         if i not in bits:
-            if len(bits) * width > 64 << 20:
+            if len(bits) * width > 32 << 20:
                 bits.clear()
             own = np.zeros(width * 8, bool)
             own[place[begin[i] : begin[i + 1]]] = True
@@ -128,11 +140,14 @@ def _block(table: pa.Table, min_shared: int, percent: int) -> pa.Table:
         ok &= (100 * np.minimum(size[a][:, None], size[right][None, :])) >= (percent * np.maximum(size[a][:, None], size[right][None, :]))
         if (part == 2).all():
             ok &= ids[a][:, None] < ids[right][None, :]
-        ok &= met[a] @ met[right].T == 0
         i, j = np.nonzero(ok)
+        part_size = max(1, (4 << 20) // met.shape[1])
+        apart = [~(met[a[i[x : x + part_size]]] & met[right[j[x : x + part_size]]]).any(1) for x in range(0, len(i), part_size)]
+        if apart:
+            i, j = i[np.concatenate(apart)], j[np.concatenate(apart)]
         order = np.argsort(-agree[i, j], kind="stable")
         i, j = a[i[order]], right[j[order]]
-        step = max(1, (8 << 20) // width)
+        step = max(1, (4 << 20) // width)
         while len(i):
             x, y = i[:step], j[:step]
             inter = np.bitwise_count(np.array([row(k) for k in x]) & np.array([row(k) for k in y])).sum(1, dtype=np.int64)
@@ -150,8 +165,9 @@ def _block(table: pa.Table, min_shared: int, percent: int) -> pa.Table:
 
 
 def block_links(long: DataFrame, lists: DataFrame, signs: DataFrame, sets: DataFrame, min_shared: int, percent: int) -> DataFrame:
-    """Links (a, b) inside long lists (token, id, component, _size), by pairs of blocks."""
-    members = long.withColumn("_blocks", F.ceil(F.col("_size") / FOLLOWERS).cast("int")).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
+    """Links (a, b) inside long lists (token, id, component, _size, _elements), by pairs of blocks of bounded rows and elements."""
+    blocks = F.ceil(F.greatest(F.col("_size") / FOLLOWERS, F.col("_elements") / ELEMENTS)).cast("int")
+    members = long.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
     members = members.select("token", "id", "component", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
     members = members.select("token", "id", "component", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("_part"))
     whole = lists.join(long.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.collect_list("token").alias("tokens"))
@@ -176,15 +192,16 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
     by any of their sets; items without elements (n = 0) are linked with nothing.
     """
     items = items if kept else stored(items)
-    classes = durable(items.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
-    members = items.join(classes, ["n", "h1", "h2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"), "keys")
-    reps = stored(members.where("id = rep and n > 0").select("id", "n", "keys").dropDuplicates(["id", "n", "keys"]))
-    lists = durable(postings(reps, min_shared).repartition("token"))
-    busy = lists.groupBy("token").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low <> _high").select("token")
-    lists = durable(lists.join(busy, "token").select("token", "id", "n"))
-    involved = durable(lists.select("id").distinct())
+    classes = stored(items.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("_c")).where("_c > 1").drop("_c"))
+    # rows that the first of an equal set stands for; all others stand for themselves
+    copies = stored(items.select("id", "n", "h1", "h2").join(classes, ["n", "h1", "h2"]).where("id <> rep").distinct())
+    release(items.sparkSession)
+    reps = stored(items.where("n > 0").join(copies, ["id", "n", "h1", "h2"], "left_anti").select("id", "n", "keys").dropDuplicates(["id", "n", "keys"]))
+    release(items.sparkSession)
+    lists = postings(reps, min_shared)
+    involved = stored(lists.select("id").distinct())
     release(items.sparkSession)
-    sets = sets_of(involved).repartition("id").persist(StorageLevel.DISK_ONLY)
+    sets = stored(sets_of(involved))
     labels = durable(involved.select("id", F.col("id").alias("component")))
     signs = stored(reps.join(involved, "id", "left_semi"))
     for turn in range(ROUNDS):
@@ -200,7 +217,7 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
         best = collisions(pairs, signs, min_shared).groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
         labels = merged(labels, durable(verified(durable(best.select("a", "b")), sets, percent)))
     placed = durable(lists.join(labels, "id"))
-    groups = durable(placed.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")).where("_low <> _high").select("token", "_size"))
+    groups = durable(placed.groupBy("token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size"), F.sum("n").alias("_elements")).where("_low <> _high").select("token", "_size", "_elements"))
     some = placed.join(groups.where(F.col("_size") <= SHORT).select("token"), "token")
     x, y = some.alias("x"), some.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & size_fits(F.col("x.n"), F.col("y.n"), percent)
@@ -209,6 +226,7 @@ def components(items: DataFrame, sets_of: Callable[[DataFrame], DataFrame], min_
     long = placed.join(groups.where(F.col("_size") > SHORT), "token")
     links = durable(links.union(block_links(long, lists, signs, sets, min_shared, percent)))
     labels = merged(labels, links)
-    sets.unpersist()
+    discard(sets, signs, reps, lists)
     of = labels.select(F.col("id").alias("rep"), "component")
-    return members.select("id", "n", "rep").join(of, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))
+    plain = items.select("id", "n", "h1", "h2").join(copies, ["id", "n", "h1", "h2"], "left")
+    return plain.select("id", "n", F.coalesce("rep", "id").alias("rep")).join(of, "rep", "left").select("id", "n", F.coalesce("component", "rep").alias("component"))

@@ -16,8 +16,11 @@ places. Texts that share REACH + WINDOW - 1 words share a window. Equal windows
 
 Null, empty and short-lined texts have no paragraphs. Rows without an id are
 left out; rows that share an id are one document whose paragraphs of one place
-are linked by any of their texts. Document ids lie within 2**37 of zero. Empty
-tables give empty results.
+are linked by any of their texts. Document ids that don't lie within 2**35 of
+zero are numbered first and put back at the end. Ties (equal sets) go to the
+smallest document id, then place. Very long texts are slices of their own and
+make as many paragraphs as they have lines. Other columns of the input take no
+part, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from casegraph.llm import kernels as K
 from casegraph.llm.linking import components
 from casegraph.llm.near_dups import minima, set_hashes
-from casegraph.operators.graph import release, stored
+from casegraph.operators.graph import discard, release, stored
+from casegraph.operators.tables import numbered
 
 MIN_WORDS = 25
 SHINGLE = 5
@@ -39,8 +43,10 @@ BANDS, ROWS = 14, 3
 PERCENT = 80
 #: Texts that share 51 words in a row share a window.
 WINDOW, REACH = 28, 24
-#: A paragraph's id is its document's id times this plus its number in the document.
-PLACES = 1 << 25
+#: A paragraph's id is its document's id times this plus its number in the document; a text has 2**31 bytes at most.
+PLACES = 1 << 28
+#: Document ids within this of zero are used as they are.
+DOCS = 1 << 35
 
 
 def paragraphs(data: np.ndarray, offsets: np.ndarray, min_words: int = MIN_WORDS):
@@ -60,6 +66,8 @@ def paragraphs(data: np.ndarray, offsets: np.ndarray, min_words: int = MIN_WORDS
 
 
 def _ids(batch: pa.RecordBatch, i: int, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    if place.max() >= PLACES:
+        raise ValueError(f"a text has more than {PLACES} paragraphs")
     return batch.column(0).to_numpy()[i + row] * PLACES + place
 
 
@@ -113,6 +121,11 @@ def paragraph_sets(rows: DataFrame, ids: DataFrame, min_words: int = MIN_WORDS)
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per paragraph that has a similar one: its document, place in bytes, words, class and whether it is removed."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where("doc is not null")
+    low, high = rows.agg(F.min("doc"), F.max("doc")).first()
+    wide = None
+    if low is not None and (low < -DOCS or high >= DOCS):
+        wide = stored(numbered(rows.select("doc").distinct(), "_number", F.col("doc")))
+        rows = rows.join(wide, "doc").select(F.col("_number").alias("doc"), "text")
     found = stored(paragraph_items(rows, min_words))
     linked = components(found.select("id", "n", "h1", "h2", "keys"), lambda ids: paragraph_sets(rows, ids, min_words), 1, percent, kept=True)
     linked = stored(linked.select("id", "component").distinct())
@@ -120,10 +133,15 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = linked.join(size, "component")
     places = found.select("id", "first", "last", "words").dropDuplicates(["id"])
     doc = lambda c: F.floor(F.col(c) / PLACES).cast("long")
-    return several.join(places, "id").select(
+    out = several.join(places, "id").select(
         doc("id").alias(id_col), (F.col("id") - doc("id") * PLACES).alias("paragraph"), "first", "last", "words", "class_size",
         doc("component").alias("class_doc_id"), (F.col("component") - doc("component") * PLACES).alias("class_paragraph"), (F.col("id") != F.col("component")).alias("removed"),
     )
+    if wide is None:
+        return out
+    for c in (id_col, "class_doc_id"):
+        out = out.join(wide.select(F.col("_number").alias(c), F.col("doc").alias("_wide")), c).withColumn(c, F.col("_wide")).drop("_wide")
+    return out
 
 
 def window_starts(word: np.ndarray, row: np.ndarray, n_rows: int, window: int = WINDOW, reach: int = REACH) -> np.ndarray:
@@ -192,6 +210,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = stored(held.groupBy("h1", "h2").agg(F.count("*").alias("class_size"), F.min(F.struct("doc", "first")).alias("_one")).where("class_size > 1"))
     placed = held.join(classes, ["h1", "h2"])
     placed = placed.select("doc", "first", "last", "class_size", F.col("_one.doc").alias("class_doc_id"), ((F.col("doc") != F.col("_one.doc")) | (F.col("first") != F.col("_one.first"))).alias("removed"))
+    discard(busy)
     spans = merged_spans(placed.distinct(), "doc", "removed")
     return spans.select(F.col("doc").alias(id_col), F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"), "class_size", "class_doc_id", "removed")
 

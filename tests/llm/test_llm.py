@@ -399,6 +399,18 @@ def test_repeats_hold_short_paragraphs(spark):
 # --- 6: decontamination ---
 
 
+def test_repeated_paragraphs_of_wide_ids(spark):
+    rng = random.Random(77)
+    line = made_words(rng, 30)
+    texts = [line, made_words(rng, 30), line + "\n" + made_words(rng, 40)]
+    small = substring_dedup.repeated_paragraphs(frame(spark, texts, [1, 2, 3])).collect()
+    for ids in ([2**40 + 1, 2**40 + 2, 2**62], [-(2**62), 5, 2**50]):
+        wide = substring_dedup.repeated_paragraphs(frame(spark, texts, ids)).collect()
+        back = dict(zip(ids, [1, 2, 3]))
+        key = lambda r, m: (m[r.doc_id], r.paragraph, r.first, r.last, m[r.class_doc_id], r.removed)
+        assert {key(r, back) for r in wide} == {key(r, {1: 1, 2: 2, 3: 3}) for r in small} and len(wide) == 2
+
+
 def test_decontamination(spark):
     rng = random.Random(11)
     items = [f"{made_words(rng, rng.randint(8, 120), 3000)}. {made_words(rng, rng.randint(1, 12), 3000)}." for _ in range(60)]
