@@ -5,9 +5,16 @@ distinct pieces that a worker hasn't met yet go to DuckDB as rows of (piece,
 position, token), first one row per byte. A recursive query joins neighbouring
 tokens with the merge table, takes each piece's smallest rank, contracts its
 leftmost pair of that rank, and goes on until no pair of a piece merges. A piece
-that is a token as a whole is that token. Pieces over LONG bytes contract all
-disjoint pairs of the smallest rank at once where no token that arises can merge
-at a smaller rank, which gives the same result in fewer rounds.
+that is a token as a whole is that token.
+
+A piece of more than LONG bytes is cut into chunks that are encoded as pieces of
+their own, and the seams are mended. Two neighbouring tokens agree if their bytes
+together encode to just these two. A sequence is the encoding of its bytes if and
+only if all neighbours agree: until a merge crosses a border between two final
+tokens, the bytes on both sides merge as if they stood alone, so the first merge
+to cross would cross there for these two tokens alone as well. So only seams are
+looked at, and where tokens disagree the bytes of some tokens on both sides are
+encoded anew as one chunk, of more and more tokens, until all seams agree.
 
 Decoding. Token ids with positions join the vocabulary, and an ordered
 aggregation puts the bytes of each sequence together. Encoded rows carry where
@@ -15,8 +22,11 @@ their pieces end, so that equal pieces are decoded once in a worker.
 
 The recursion runs STEPS rounds per query, and what isn't settled goes on in the
 next, so the rows that a recursive query keeps stay few. Tables of pieces are
-caches of bounded size. Null and empty texts have no tokens. Repeated rows and
-ids are kept; empty tables give empty results; columns of other names take no part.
+caches of bounded size. DuckDB's memory is limited and it may not spill to a
+worker's folder; a query that needs more is cut in two. Null and empty texts have
+no tokens. Very long texts are slices of their own. Repeated rows and ids, null
+ids among them, are kept; ties of rank go to the leftmost pair; empty tables give
+empty results; columns of other names take no part.
 """
 
 from __future__ import annotations
@@ -33,7 +43,8 @@ from casegraph.llm import kernels as K
 from casegraph.llm.pieces import MOST_PIECES, PieceTable, worker_cache
 
 STEPS = 24
-LONG = 48
+#: Bytes from which a piece is cut into chunks, and tokens on each side of a seam that are encoded anew at first.
+LONG, SIDE = 48, 4
 #: Rows of (piece, position) in one query.
 QUERY_ROWS = 60_000
 
@@ -51,27 +62,6 @@ with recursive state(piece, pos, token, step) as (
   where before is distinct from hit
 )
 """
-_ROUND_ALL = """
-with recursive state(piece, pos, token, step) as (
-  select piece, pos, token, 0 from seed
-  union all
-  select piece, pos, case when chosen then best else token end, step + 1 from (
-    select *, lag(chosen) over (partition by piece order by pos) as gone from (
-      select piece, pos, token, step, best, coalesce(rank = best and
-        (pos = leftmost or (free and (row_number() over (partition by piece, rank = best, island order by pos)) % 2 = 1)), false) as chosen
-      from (
-        select *, bool_or(free_hit) over (partition by piece) as free, min(pos) filter (where rank = best) over (partition by piece) as leftmost,
-          place - sum((coalesce(rank = best, false))::int) over (partition by piece order by pos) as island
-        from (
-          select *, rank = best and clean as free_hit from (
-            select s.*, m.rank, m.clean, min(m.rank) over (partition by s.piece) as best from (
-              select piece, pos, token, step, lead(token) over w as next, row_number() over w as place
-              from state where step < {steps} window w as (partition by piece order by pos)) s
-            left join merges m on m.first = s.token and m.second = s.next)
-          where best is not null))))
-  where not coalesce(gone, false)
-)
-"""
 #: The rows of each piece's last round, and whether it may go on.
 _LAST = """
 select s.piece, s.pos, s.token::int as token, s.step = {steps} as open
@@ -104,18 +94,15 @@ class Codec:
         if not self.tables:
             import duckdb
 
-            self.db = duckdb.connect(config={"threads": 1, "memory_limit": "160MB"})
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": "160MB", "temp_directory": ""})
         ranks = load_ranks(self.raw)
         if name == "merges":
             self.ranks = ranks
             self.byte_token = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+            self.token_bytes = {r: t for t, r in ranks.items()}
             parts = ((ranks.get(t[:i]), ranks.get(t[i:]), r) for t, r in ranks.items() for i in range(1, len(t)))
             merges = np.array([x for x in parts if x[0] is not None and x[1] is not None], np.int64).reshape(-1, 3)
-            first, second, rank = merges.T
-            least = np.full(max(ranks.values()) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, first, rank)
-            np.minimum.at(least, second, rank)
-            made = pa.table({"first": first, "second": second, "rank": rank, "clean": least[rank] > rank})
+            made = pa.table({"first": merges[:, 0], "second": merges[:, 1], "rank": merges[:, 2]})
         else:
             made = pa.table({"token": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.hex() for t in ranks]})
         self.db.register("made", made)
@@ -134,28 +121,93 @@ class Codec:
                 out[i] = np.array([whole], np.int32)
             else:
                 (long if len(piece) > LONG else short).append(i)
-        for todo, query in ((short, _ROUND), (long, _ROUND_ALL)):
-            at = 0
-            while at < len(todo):
-                end, size = at, 0
-                while end < len(todo) and (end == at or size + len(pieces[todo[end]]) <= QUERY_ROWS):
-                    size += len(pieces[todo[end]])
-                    end += 1
-                self._merge([pieces[i] for i in todo[at:end]], todo[at:end], query, out)
-                at = end
+        for i, ids in zip(short, self._merge([pieces[i] for i in short])):
+            out[i] = ids
+        for i, ids in zip(long, self._mend([pieces[i] for i in long])):
+            out[i] = ids
         return out
 
-    def _merge(self, pieces: list[bytes], where: list[int], query: str, out: list) -> None:
-        sizes = np.array([len(p) for p in pieces])
+    def _mend(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of long pieces, by chunks whose seams are mended."""
+        chunks = [[p[a : a + LONG] for a in range(0, len(p), LONG)] for p in pieces]
+        flat = iter(self._merge([c for cs in chunks for c in cs]))
+        ids, seams = [], []
+        for cs in chunks:
+            parts = [next(flat) for _ in cs]
+            ids.append(np.concatenate(parts))
+            seams.append(np.cumsum([len(x) for x in parts])[:-1])
+        agreed: dict[tuple[int, int], bool] = {}
+        side = SIDE
+        while any(len(x) for x in seams):
+            pairs = {(int(t[s - 1]), int(t[s])) for t, x in zip(ids, seams) for s in x} - agreed.keys()
+            asked = sorted(pairs)
+            for pair, got in zip(asked, self._merge([self.token_bytes[a] + self.token_bytes[b] for a, b in asked])):
+                agreed[pair] = tuple(got.tolist()) == pair
+            windows = []
+            for k, (t, x) in enumerate(zip(ids, seams)):
+                spans: list[list[int]] = []
+                for s in x:
+                    if agreed[int(t[s - 1]), int(t[s])]:
+                        continue
+                    low, high = max(0, s - side), min(len(t), s + side)
+                    if spans and low <= spans[-1][1]:
+                        spans[-1][1] = high
+                    else:
+                        spans.append([low, high])
+                windows += [(k, a, b) for a, b in spans]
+                seams[k] = np.zeros(0, np.int64)
+            anew = self._merge([b"".join(self.token_bytes[i] for i in ids[k][a:b].tolist()) for k, a, b in windows])
+            by_piece: dict[int, list] = {}
+            for (k, a, b), new in zip(windows, anew):
+                by_piece.setdefault(k, []).append((a, b, new))
+            for k, changes in by_piece.items():
+                t, parts, at, size, edges = ids[k], [], 0, 0, []
+                for a, b, new in changes:
+                    parts += [t[at:a], new]
+                    edges += [size + a - at, size + a - at + len(new)]
+                    size, at = edges[-1], b
+                ids[k] = np.concatenate([*parts, t[at:]])
+                seams[k] = np.array([e for e in edges if 0 < e < len(ids[k])], np.int64)
+            side *= 2
+        return ids
+
+    def _merge(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each piece by contractions alone, QUERY_ROWS bytes at once."""
+        out: list = [None] * len(pieces)
+        at = 0
+        while at < len(pieces):
+            end, size = at, 0
+            while end < len(pieces) and (end == at or size + len(pieces[end]) <= QUERY_ROWS):
+                size += len(pieces[end])
+                end += 1
+            self._contract(pieces, at, end, out)
+            at = end
+        return out
+
+    def _contract(self, pieces: list[bytes], low: int, high: int, out: list) -> None:
+        import duckdb
+
+        sizes = np.array([len(p) for p in pieces[low:high]])
         seed = pa.table({
-            "piece": np.repeat(np.array(where, np.int64), sizes), "pos": np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes),
-            "token": self.byte_token[np.frombuffer(b"".join(pieces), np.uint8)],
+            "piece": np.repeat(np.arange(low, high), sizes), "pos": np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes),
+            "token": self.byte_token[np.frombuffer(b"".join(pieces[low:high]), np.uint8)],
         })
-        sql = (query + _LAST).format(steps=STEPS)
+        steps = STEPS
         while seed.num_rows:
             self.db.register("seed", seed)
-            got = self.db.execute(sql).fetchnumpy()
-            self.db.unregister("seed")
+            try:
+                got = self.db.execute((_ROUND + _LAST).format(steps=steps)).fetchnumpy()
+            except duckdb.OutOfMemoryException:
+                if high - low > 1:
+                    for a, b in ((low, (low + high) // 2), ((low + high) // 2, high)):
+                        self._contract(pieces, a, b, out)
+                    return
+                if steps == 1:
+                    raise
+                steps = max(1, steps // 4)
+                continue
+            finally:
+                self.db.unregister("seed")
             # a piece that ran all rounds may have more to merge
             piece, token, still = got["piece"], got["token"], got["open"]
             done = ~still

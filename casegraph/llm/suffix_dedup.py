@@ -1,4 +1,4 @@
-"""Suffix dedup: removes each byte covered by a string of SPAN bytes that starts elsewhere too.
+"""Suffix dedup: removes each byte covered by a string of 400 bytes that starts elsewhere too, and counts repeated passages of words.
 
 Positions are put in buckets by a hash of the GRAM bytes at them, and buckets are
 refined by identifiers of what stands at other offsets, over and over, until
@@ -16,25 +16,48 @@ and one row stands for the run.
    identifier of the bytes common to its strings as its new bucket.
 3. The strings' ranges are merged to spans per document and their bytes removed.
 
-Matches never cross documents. Null texts count as empty; texts under SPAN bytes
-lose nothing. Each row is a document of its own: rows that repeat a text lose
-what they share. Rows without an id take part as well. Empty tables give empty
-results.
+The same search runs a second time over words (between ASCII blanks, A-Z in lower
+case) in place of bytes: passages are runs covered by strings of 51 words that
+start elsewhere too. They are counted and not removed; many hold under 400 bytes.
+
+Strings are told equal by 64-bit hashes among those of one bucket, which is itself
+a 64-bit hash (in a full bucket two different ones meet with a chance of 1e-8).
+Matches never cross documents. Null texts count as empty; texts under 400 bytes
+lose nothing. Very long texts are slices of their own. Each row is a document of
+its own: rows that repeat a text lose what they share, and no row of equal ones is
+spared. Rows without an id take part as well. Other columns take no part, whatever
+their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casegraph.llm import kernels as K
-from casegraph.operators.graph import durable, stored
+from casegraph.operators.graph import discard, durable, release, stored
 
-SPAN = 400
-GRAM = 64
+
+class Unit(NamedTuple):
+    """What strings are made of: their length and their grams' in such units, the type of a unit, and how texts become units."""
+
+    span: int
+    gram: int
+    kind: type
+    of: Callable
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    word, _, _, row = K.words(data, offsets)
+    return word, np.searchsorted(row, np.arange(len(offsets)))
+
+
+BYTES = Unit(400, 64, np.uint8, lambda data, offsets: (data, offsets))
+WORDS = Unit(51, 8, np.uint64, _words)
 #: Contexts of one bucket that a task compares at once; larger buckets are refined first.
 BUCKET = 2048
 #: A larger bucket's starts are cut into runs of these lengths in turn.
@@ -43,7 +66,7 @@ WIDTHS = (48, 7, 1)
 CHUNK = 2 << 20
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: int = GRAM, prefix: K.Prefix | None = None):
+def anchors(data: np.ndarray, offsets: np.ndarray, span: int = BYTES.span, gram: int = BYTES.gram, prefix: K.Prefix | None = None):
     """Places of the anchors, first and last starts of the strings that they stand for, rows and gram hashes."""
     z = np.zeros(0, np.int64)
     w = span - gram + 1
@@ -86,50 +109,66 @@ def _run_hash(prefix: K.Prefix, start: np.ndarray, end: np.ndarray, offset: np.n
     return prefix.spans(start, end) + K.mix(offset.astype(K.U64) + K.U64(1))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i, j, data, offsets in K.text_slices(batch.column(2)):
-            prefix = K.Prefix(data)
-            place, first, last, row, gram = anchors(data, offsets, prefix=prefix)
-            begin = offsets[row]
-            take = pa.array(row + i)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(take), batch.column(1).take(take), pa.array((place - begin).astype(np.int32)), pa.array((first - begin).astype(np.int32)),
-                    pa.array((last - begin).astype(np.int32)), signed(gram), signed(_run_hash(prefix, first, last + SPAN, place - first)),
-                ],
-                names=["id", "h", "place", "first", "last", "bucket", "context"],
-            )
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, h, runs, text) to one row per run with its bytes."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        runs = batch.column(2)
-        row = np.repeat(np.arange(batch.num_rows), np.diff(runs.offsets.to_numpy()))
-        run = runs.flatten()
-        place, first, last = (run.field(k).to_numpy() for k in ("place", "first", "last"))
-        text = batch.column(3)
-        raw = np.frombuffer(text.buffers()[2], np.uint8)
-        wide = pa.types.is_large_binary(text.type) or pa.types.is_large_string(text.type)
-        at = np.frombuffer(text.buffers()[1], np.int64 if wide else np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
-        start, size = at[row] + first, last - first + SPAN
-        for lo in range(0, len(row), 4096):
-            s, z = start[lo : lo + 4096], size[lo : lo + 4096].astype(np.int64)
-            ends = np.cumsum(z)
-            index = np.repeat(s - (ends - z), z) + np.arange(ends[-1])
-            where = pa.array(row[lo : lo + 4096])
-            bytes_ = pa.Array.from_buffers(pa.binary(), len(z), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(raw[index])])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(where), batch.column(1).take(where), pa.array(place[lo : lo + 4096]), pa.array(first[lo : lo + 4096]), pa.array(last[lo : lo + 4096]), run.field("bucket")[lo : lo + 4096], bytes_],
-                names=["id", "h", "place", "first", "last", "bucket", "bytes"],
-            )
-
-
-def _refine(width: int):
-    """Cuts runs into runs of up to width starts, aligned by their offset from the anchor, in buckets of their common bytes."""
+def _scan(unit: Unit):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, _, data, offsets in K.text_slices(batch.column(2)):
+                data, offsets = unit.of(data, offsets)
+                prefix = K.Prefix(data)
+                place, first, last, row, gram = anchors(data, offsets, unit.span, unit.gram, prefix)
+                begin = offsets[row]
+                take = pa.array(row + i)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(take), batch.column(1).take(take), pa.array((place - begin).astype(np.int32)), pa.array((first - begin).astype(np.int32)),
+                        pa.array((last - begin).astype(np.int32)), signed(gram), signed(_run_hash(prefix, first, last + unit.span, place - first)),
+                    ],
+                    names=["id", "h", "place", "first", "last", "bucket", "context"],
+                )
+
+    return run
+
+
+def _binary(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Parts of an array of units, as binary values."""
+    ends = np.cumsum(size)
+    index = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((np.concatenate(([0], ends)) * data.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[index]))])
+
+
+def _units(column: pa.Array, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
+    """All units of a column made by _binary(), and where each value begins."""
+    (_, _, data, offsets), = K.text_slices(column, 1 << 40)
+    size = np.dtype(unit.kind).itemsize
+    return np.ascontiguousarray(data).view(unit.kind), offsets // size
+
+
+def _contexts(unit: Unit):
+    """Rows (id, h, runs, text) to one row per run with its units."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            for i, j, data, offsets in K.text_slices(batch.column(3)):
+                data, offsets = unit.of(data, offsets)
+                part = lists.slice(i, j - i)
+                row = np.repeat(np.arange(j - i), np.diff(part.offsets.to_numpy()))
+                own = part.flatten()
+                place, first, last = (own.field(k).to_numpy() for k in ("place", "first", "last"))
+                start, size = offsets[row] + first, (last - first + unit.span).astype(np.int64)
+                for lo in range(0, len(row), 4096):
+                    to = lo + 4096
+                    where = pa.array(row[lo:to] + i)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(where), batch.column(1).take(where), pa.array(place[lo:to]), pa.array(first[lo:to]), pa.array(last[lo:to]), own.field("bucket")[lo:to], _binary(data, start[lo:to], size[lo:to])],
+                        names=["id", "h", "place", "first", "last", "bucket", "bytes"],
+                    )
+
+    return run
+
+
+def _refine(width: int, unit: Unit):
+    """Cuts runs into runs of up to width starts, aligned by their offset from the anchor, in buckets of their common units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -138,7 +177,7 @@ def _refine(width: int):
                 if not batch.num_rows:
                     continue
                 place, first, last, bucket = (batch.column(k).to_numpy() for k in (2, 3, 4, 5))
-                (_, _, data, offsets), = K.text_slices(batch.column(6), 1 << 40)
+                data, offsets = _units(batch.column(6), unit)
                 prefix = K.Prefix(data)
                 a, b = (place - last) // width, (place - first) // width  # the offsets' cells
                 n = b - a + 1
@@ -147,30 +186,27 @@ def _refine(width: int):
                 new_first = np.maximum(first[row], place[row] - cell * width - width + 1)
                 new_last = np.minimum(last[row], place[row] - cell * width)
                 begin = offsets[row] - first[row]
-                # bytes that each string of the cell holds, so any run of it has them all
+                # units that each string of the cell holds, so any run of it has them all
                 core = begin + place[row] - cell * width
-                common = _run_hash(prefix, core, core - width + 1 + SPAN, cell)
+                common = _run_hash(prefix, core, core - width + 1 + unit.span, cell)
                 new_bucket = K.mix(common + K.mix(bucket[row].view(K.U64)))
-                start, size = begin + new_first, (new_last - new_first + SPAN).astype(np.int64)
-                ends = np.cumsum(size)
-                index = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
                 where = pa.array(row)
-                bytes_ = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(data[index])])
+                bytes_ = _binary(data, begin + new_first, (new_last - new_first + unit.span).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(place[row]), pa.array(new_first.astype(np.int32)), pa.array(new_last.astype(np.int32)), signed(new_bucket), bytes_], names=batch.schema.names)
 
     return run
 
 
-def _ranges(table: pa.Table) -> pa.RecordBatch:
+def _ranges(table: pa.Table, unit: Unit) -> pa.RecordBatch:
     """(id, h, start, end) of the strings that stand twice in their buckets, neighbours as one range."""
     place, first, last, bucket = (table[k].to_numpy() for k in ("place", "first", "last", "bucket"))
-    (_, _, data, offsets), = K.text_slices(table["bytes"], 1 << 40)
+    data, offsets = _units(table["bytes"].combine_chunks(), unit)
     prefix = K.Prefix(data)
     n = last - first + 1
     row = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
     start = offsets[row] + step
-    key = _run_hash(prefix, start, start + SPAN, place[row] - first[row] - step) + K.mix(bucket[row].view(K.U64))
+    key = _run_hash(prefix, start, start + unit.span, place[row] - first[row] - step) + K.mix(bucket[row].view(K.U64))
     _, code, count = np.unique(K.mix(key), return_inverse=True, return_counts=True)
     twice = np.flatnonzero(count[code] > 1)
     new = np.ones(len(twice), bool)
@@ -180,50 +216,61 @@ def _ranges(table: pa.Table) -> pa.RecordBatch:
     where = row[twice[head]]
     take = pa.array(where)
     begin = first[where] + step[twice[head]]
-    end = first[where] + step[twice[tail]] + SPAN
+    end = first[where] + step[twice[tail]] + unit.span
     return pa.RecordBatch.from_arrays([table["id"].take(take).combine_chunks(), table["h"].take(take).combine_chunks(), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], names=["id", "h", "start", "end"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(unit: Unit):
     """Whole buckets of rows sorted by bucket, a few MB at a time."""
-    held: list[pa.RecordBatch] = []
-    size = 0
-    for whole in batches:
-        for low in range(0, whole.num_rows, 512):
-            batch = whole.slice(low, 512)
-            held.append(batch)
-            size += batch.num_rows * 2 * SPAN
-            if size < CHUNK:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            bucket = table["bucket"].to_numpy()
-            edge = int(np.searchsorted(bucket, bucket[-1], "left"))
-            if edge:
-                yield _ranges(table.slice(0, edge))
-                table = table.slice(edge).combine_chunks()
-            held, size = table.to_batches(), table.num_rows * 2 * SPAN
-    if held:
-        yield _ranges(pa.Table.from_batches(held).combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        each = 2 * unit.span * np.dtype(unit.kind).itemsize
+        for whole in batches:
+            for low in range(0, whole.num_rows, 512):
+                batch = whole.slice(low, 512)
+                held.append(batch)
+                size += batch.num_rows * each
+                if size < CHUNK:
+                    continue
+                table = pa.Table.from_batches(held).combine_chunks()
+                bucket = table["bucket"].to_numpy()
+                edge = int(np.searchsorted(bucket, bucket[-1], "left"))
+                if edge:
+                    yield _ranges(table.slice(0, edge), unit)
+                    table = table.slice(edge).combine_chunks()
+                held, size = table.to_batches(), table.num_rows * each
+        if held:
+            yield _ranges(pa.Table.from_batches(held).combine_chunks(), unit)
+
+    return run
 
 
 RUNS = "id long, h long, place int, first int, last int, bucket long"
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(id, h, start, end): byte ranges of rows (id, h, text) to remove; they may overlap."""
-    runs = stored(docs.select("id", "h", "text").mapInArrow(_scan, f"{RUNS}, context long"))
+def repeated_ranges(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """(id, h, start, end): ranges of units of rows (id, h, text) that repeat; they may overlap."""
+    runs = stored(docs.select("id", "h", "text").mapInArrow(_scan(unit), f"{RUNS}, context long"))
     # tables of their own, so that the joins with them can be split where a bucket is large
     busy = stored(runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket"))
     shared = stored(runs.join(busy, "bucket").select(runs.columns))
+    discard(runs, busy)
     kinds = stored(shared.groupBy("bucket", "context").agg(F.count("*").alias("_n"), F.min(F.struct("id", "h", "place", "first", "last")).alias("_one")))
+    release(docs.sparkSession)
     whole = shared.join(kinds.where("_n > 1").select("bucket", "context"), ["bucket", "context"])
-    found = [whole.select("id", "h", F.col("first").alias("start"), (F.col("last") + SPAN).alias("end"))]
+    end = (F.col("last") + unit.span).alias("end")
+    found = [whole.select("id", "h", F.col("first").alias("start"), end)]
     several = stored(kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1"))
     apart = kinds.join(several.select("bucket"), "bucket").select("_one.*", "bucket")
-    per_doc = apart.groupBy("id", "h").agg(F.collect_list(F.struct("place", "first", "last", "bucket")).alias("runs"))
+    per_doc = stored(apart.groupBy("id", "h").agg(F.collect_list(F.struct("place", "first", "last", "bucket")).alias("runs")))
+    # only the texts that have such runs are shuffled
     texts = docs.select(F.col("id").alias("_i"), F.col("h").alias("_h"), "text")
     met = per_doc.join(texts, F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h"))).select("id", "h", "runs", "text")
-    rows = stored(met.mapInArrow(_contexts, f"{RUNS}, bytes binary"))
+    rows = stored(met.mapInArrow(_contexts(unit), f"{RUNS}, bytes binary"))
+    tables = [shared, kinds, several, per_doc, rows]
+    release(docs.sparkSession)
     sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > BUCKET).select("bucket"))
     for width in (*WIDTHS, 0):
         large = None
@@ -232,22 +279,36 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
             rows = rows.join(sizes, "bucket", "left_anti").select(rows.columns)
         if width == 0 and large is not None:
             # runs of one string in buckets of equal strings
-            found.append(large.select("id", "h", F.col("first").alias("start"), (F.col("last") + SPAN).alias("end")))
-        found.append(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare, "id long, h long, start int, end int"))
+            found.append(large.select("id", "h", F.col("first").alias("start"), end))
+        found.append(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(unit), "id long, h long, start int, end int"))
         if large is None or width == 0:
             break
-        rows = stored(large.mapInArrow(_refine(width), f"{RUNS}, bytes binary"))
+        rows = stored(large.mapInArrow(_refine(width, unit), f"{RUNS}, bytes binary"))
+        tables.append(rows)
         sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > BUCKET).select("bucket"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
+    out = stored(out)
+    discard(*tables)
+    release(docs.sparkSession)
     return out
 
 
+def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges that overlap or touch as one."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order]) if len(end) else end
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > reach[:-1]
+    heads = np.flatnonzero(new)
+    return start[heads], reach[np.append(heads[1:], len(start))[: len(heads)] - 1]
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, spans = batch.column(1), batch.column(2)
-        size, gone, count, kept = [], [], [], []
+        size, gone, count, passages, kept = [], [], [], [], []
         for i in range(batch.num_rows):
             text = texts[i].as_buffer()
             raw = memoryview(text) if text is not None else b""
@@ -255,27 +316,26 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not spans[i].is_valid:
                 gone.append(0)
                 count.append(0)
+                passages.append(0)
                 kept.append(bytes(raw))
                 continue
-            pairs = spans[i].values
-            start, end = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
-            order = np.argsort(start, kind="stable")
-            start, reach = start[order], np.maximum.accumulate(end[order])
-            new = np.ones(len(start), bool)
-            new[1:] = start[1:] > reach[:-1]
-            heads = np.flatnonzero(new)
-            s, e = start[heads], reach[np.append(heads[1:], len(start)) - 1]
+            ranges = spans[i].values
+            start, end, of_words = ranges.field(0).to_numpy(), ranges.field(1).to_numpy(), ranges.field(2).to_numpy(zero_copy_only=False)
+            passages.append(len(_merged(start[of_words], end[of_words])[0]))
+            s, e = _merged(start[~of_words], end[~of_words])
             gone.append(int((e - s).sum()))
             count.append(len(s))
             kept.append(b"".join(raw[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(raw)])))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+        numbers = [pa.array(x, pa.int64()) for x in (size, gone, count, passages)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "n_passages", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept) per row; kept holds the remaining bytes."""
+    """(id, n_bytes, n_removed, n_spans, n_passages, kept) per row; kept holds the remaining bytes, n_passages counts repeated passages of over 50 words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    spans = repeated_ranges(rows).groupBy("id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = [repeated_ranges(rows, unit).withColumn("words", F.lit(unit is WORDS)) for unit in (BYTES, WORDS)]
+    spans = found[0].unionByName(found[1]).groupBy("id", "h").agg(F.collect_set(F.struct("start", "end", "words")).alias("spans"))
     spans = spans.select(F.col("id").alias("_i"), F.col("h").alias("_h"), "spans")
     met = rows.join(spans, F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h")), "left").select("id", "text", "spans")
-    return met.mapInArrow(_remove, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return met.mapInArrow(_remove, "id long, n_bytes long, n_removed long, n_spans long, n_passages long, kept binary")

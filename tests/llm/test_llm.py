@@ -428,6 +428,18 @@ def test_decontamination(spark):
     got = decontamination.contaminated(frame(spark, texts), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
     assert all(r.overlap >= 0.8 and r.answer_overlap >= 0.5 and r.score >= 0.4 for r in got)
+    # all pairs, by brute force
+    split = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, min(len(w), 1)))}
+    held = [grams(split(t)) for t in texts]
+    every = {(d, k) for k, t in enumerate(items) for d, h in enumerate(held) if len(grams(split(t)) & h) >= 0.8 * len(grams(split(t)))}
+    assert want <= every
+    answers = {k: {g for g in (tuple(split(t)[i : i + 5]) for i in range(len(split(t)) - 4)) if g not in grams(split(t[: t.index(". ") + 1]))} for k, t in enumerate(items)}
+    assert {(d, k) for d, k in every if len(answers[k] & held[d]) >= 0.5 * len(answers[k])} == want
+    with pytest.MonkeyPatch.context() as patch:  # several indexes give the same pairs
+        patch.setattr(decontamination, "SHARD_BYTES", 4000)
+        patch.setattr(decontamination, "DENSE", 10)
+        assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(frame(spark, texts), bench).collect()} == want
     half = [" ".join(items[0].split()[: len(items[0].split()) // 2])]
     assert decontamination.contaminated(frame(spark, half), bench).count() == 0
     assert decontamination.contaminated(frame(spark, []), bench).count() == 0
@@ -489,6 +501,33 @@ def test_suffix_dedup(spark):
     assert [r.kept for r in twice] == [b""] * 3
 
 
+def passage_brute(texts, span=51):
+    words = [[w.translate(LOWER) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] for t in texts]
+    count = collections.Counter(tuple(w[i : i + span]) for w in words for i in range(len(w) - span + 1))
+    out = []
+    for w in words:
+        held = np.zeros(len(w), bool)
+        for i in range(len(w) - span + 1):
+            if count[tuple(w[i : i + span])] > 1:
+                held[i : i + span] = True
+        out.append(int((np.diff(np.concatenate(([0], held.astype(int)))) == 1).sum()))
+    return out
+
+
+def test_passages_of_over_50_words(spark, monkeypatch):
+    rng = random.Random(41)
+    texts = [*ODD, *passages(rng)]
+    for n in (49, 50, 51, 52, 55):
+        part = " ".join(rng.choice(["a", "an", "to", "is"]) + str(rng.randint(0, 9)) for _ in range(n))  # under 400 bytes
+        texts += [made_words(rng, 60, 3000) + "\n" + part.upper() + "  " + made_words(rng, 9, 3000), part + " " + made_words(rng, 70, 3000)]
+    want = passage_brute(texts)
+    rows = suffix_dedup.remove_repeats(frame(spark, texts)).collect()
+    assert {r.id: r.n_passages for r in rows} == dict(enumerate(want))
+    assert any(r.n_passages and not r.n_removed for r in rows)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 4)
+    assert {r.id: r.n_passages for r in suffix_dedup.remove_repeats(frame(spark, texts)).collect()} == dict(enumerate(want))
+
+
 def test_large_buckets_are_refined(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUCKET", 4)
     texts = passages(random.Random(14))
@@ -499,6 +538,7 @@ def test_large_buckets_are_refined(spark, monkeypatch):
 # --- 10: neighbours ---
 
 
+
 def test_nearest(spark, monkeypatch):
     rng = np.random.default_rng(15)
     v = rng.standard_normal((2000, 24)).astype(np.float32)
@@ -525,6 +565,28 @@ def test_nearest(spark, monkeypatch):
     assert nearest.nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_nearest_prunes_cells_and_keeps_recall(spark, monkeypatch):
+    rng = np.random.default_rng(16)
+    centres = rng.standard_normal((40, 32)) * 4
+    v = centres[rng.integers(0, 40, 12000)] + rng.standard_normal((12000, 32)) * 0.4
+    v[3000:7000] = v[3000]  # a third of all rows are copies
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(nearest, "SHARD", 300)
+    met, real = [], nearest.durable
+    monkeypatch.setattr(nearest, "durable", lambda x: met.append(x.columns) or real(x))
+    got = collections.defaultdict(list)
+    for r in nearest.nearest(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    hits = 0
+    for q in range(0, 12000, 50):
+        s = unit @ unit[q]
+        s[q] = -2
+        hits += len(set(np.lexsort((np.arange(12000), -np.round(s, 12)))[:5].tolist()) & set(got[q]))
+    assert hits >= 0.97 * 5 * 240 and got[3050] == [3000, 3001, 3002, 3003, 3004]
+    assert sum("_shards" in c for c in met) < 6  # the rounds end long before all cells are seen
+
+
 def test_chi_square_quantile():
     assert abs(nearest.chi_square_quantile(0.95, 2) + 2 * math.log(0.05)) < 1e-9
 
