@@ -64,6 +64,8 @@ BUCKET = 2048
 WIDTHS = (48, 7, 1)
 #: Bytes of contexts that a task compares at once, besides the last bucket.
 CHUNK = 2 << 20
+#: Bytes of texts that a task scans at once; the scan keeps some twenty arrays of as many 64-bit numbers.
+SLICE = 1 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, span: int = BYTES.span, gram: int = BYTES.gram, prefix: K.Prefix | None = None):
@@ -112,7 +114,7 @@ def _run_hash(prefix: K.Prefix, start: np.ndarray, end: np.ndarray, offset: np.n
 def _scan(unit: Unit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, _, data, offsets in K.text_slices(batch.column(2)):
+            for i, _, data, offsets in K.text_slices(batch.column(2), SLICE):
                 data, offsets = unit.of(data, offsets)
                 prefix = K.Prefix(data)
                 place, first, last, row, gram = anchors(data, offsets, unit.span, unit.gram, prefix)
