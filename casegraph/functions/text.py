@@ -4,25 +4,29 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import StringType
+
+from casegraph.functions.values import BACKGROUND, DIED, HONORIFICS, INJURED, NAME_AND_CITY, PLACEHOLDERS, PUBLISHERS, SURVIVED
 
 # Letters and their Latin forms; a letter without one is dropped.
 ARABIC = {
-    "ا": "a", "أ": "a", "إ": "i", "آ": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z",
-    "س": "s", "ش": "sh", "ص": "s", "ض": "d", "ط": "t", "ظ": "z", "ع": "a", "غ": "gh", "ف": "f", "ق": "q", "ك": "k", "ل": "l", "م": "m", "ن": "n",
-    "ه": "h", "و": "w", "ي": "y", "ى": "a", "ة": "a", "ء": "", "ؤ": "w", "ئ": "y",
+    "ا": "", "أ": "a", "إ": "i", "آ": "a", "ب": "b", "ت": "t", "ث": "th", "ج": "j", "ح": "h", "خ": "kh", "د": "d", "ذ": "dh", "ر": "r", "ز": "z",
+    "س": "s", "ش": "sh", "ص": "s", "ض": "d", "ط": "t", "ظ": "z", "ع": "", "غ": "gh", "ف": "f", "ق": "q", "ك": "k", "ل": "l", "م": "m", "ن": "n",
+    "ه": "h", "و": "w", "ي": "y", "ى": "y", "ة": "h", "ء": "", "ؤ": "w", "ئ": "y",
 }
 HEBREW = {
-    "א": "a", "ב": "b", "ג": "g", "ד": "d", "ה": "h", "ו": "w", "ז": "z", "ח": "h", "ט": "t", "י": "y", "כ": "k", "ך": "k", "ל": "l", "מ": "m", "ם": "m",
-    "נ": "n", "ן": "n", "ס": "s", "ע": "a", "פ": "f", "ף": "f", "צ": "s", "ץ": "s", "ק": "q", "ר": "r", "ש": "sh", "ת": "t",
+    "א": "", "ב": "b", "ג": "g", "ד": "d", "ה": "h", "ו": "w", "ז": "z", "ח": "h", "ט": "t", "י": "y", "כ": "k", "ך": "k", "ל": "l", "מ": "m", "ם": "m",
+    "נ": "n", "ן": "n", "ס": "s", "ע": "", "פ": "f", "ף": "f", "צ": "s", "ץ": "s", "ק": "q", "ר": "r", "ש": "sh", "ת": "t",
 }
+#: A letter and its mark that stand for one sound; they are read before single letters.
+DIGRAPHS = {"ג'": "j", "ז'": "z", "ד'": "d"}
 ACCENTED, PLAIN = "àâäáãåçèéêëìíîïñòóôöõùúûüýÿß", "aaaaaaceeeeiiiinooooouuuuyys"
-ARABIC_MARKS = r"[ؐ-ًؚ-ٰٟۖ-ۭـ]"
+ARABIC_MARKS = "[\u064b-\u065f\u0610-\u061a\u06d6-\u06dc]"
 
 
 def present(c: Column) -> Column:
     """Neither null nor blank nor a placeholder word."""
-    return F.coalesce(~F.lower(F.trim(c)).isin("", "unknown", "n/a", "na", "none", "null", "-"), F.lit(False))
+    return F.coalesce(~F.lower(F.trim(c)).isin(*PLACEHOLDERS), F.lit(False))
 
 
 def first_present(*cols: Column) -> Column:
@@ -48,8 +52,10 @@ def strip_words(c: Column, words: list[str]) -> Column:
 
 
 def romanize(c: Column) -> Column:
-    """Lower-case Latin letters and single spaces; accents fold, unknown letters drop."""
-    out = F.lower(c)
+    """Lower-case Latin letters and single spaces, without marks and honorifics; accents fold, unknown letters drop."""
+    out = F.lower(strip_words(F.regexp_replace(c, ARABIC_MARKS, ""), list(HONORIFICS)))
+    for k, v in DIGRAPHS.items():
+        out = F.replace(out, F.lit(k), F.lit(v))
     single = {k: v for k, v in (ARABIC | HEBREW).items() if len(v) == 1}
     for k, v in (ARABIC | HEBREW).items():
         if len(v) != 1:
@@ -58,48 +64,6 @@ def romanize(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(out, "[^a-z ]", ""), " +", " "))
 
 
-def jaro_winkler(a: str, b: str) -> float:
-    """Jaro-Winkler similarity with a prefix of up to 4 letters, scale 0.1, boosted above 0.7."""
-    if a == b:
-        return 1.0 if a else 0.0
-    if not a or not b:
-        return 0.0
-    reach = max(max(len(a), len(b)) // 2 - 1, 0)
-    used = [False] * len(b)
-    mine = []
-    for i, x in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == x:
-                used[j] = True
-                mine.append(x)
-                break
-    m = len(mine)
-    if not m:
-        return 0.0
-    theirs = [b[j] for j in range(len(b)) if used[j]]
-    half = sum(x != y for x, y in zip(mine, theirs)) // 2
-    score = (m / len(a) + m / len(b) + (m - half) / m) / 3
-    prefix = 0
-    for x, y in zip(a[:4], b[:4]):
-        if x != y:
-            break
-        prefix += 1
-    return score + prefix * 0.1 * (1 - score) if score > 0.7 else score
-
-
-@F.pandas_udf(DoubleType())
-def jw(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity of two names; 0 if either is missing. Equal pairs of a batch are scored once."""
-    memo: dict = {}
-    out = []
-    for x, y in zip(a, b):
-        key = (x, y)
-        if key not in memo:
-            memo[key] = 0.0 if x is None or y is None else jaro_winkler(x, y)
-        out.append(memo[key])
-    return pd.Series(out, dtype="float64")
-
-
 def tokens(c: Column) -> Column:
     return F.filter(F.split(F.trim(c), " +"), lambda t: t != "")
 
@@ -163,9 +127,13 @@ def first_path_segment(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]+/([^/?#]*)", 1)
 
 
-def publisher(url: Column) -> Column:
-    """The host's last label but one, capitalised."""
-    return F.initcap(F.regexp_extract(host(url), r"([^.]+)\.[^.]+$", 1))
+def publisher(url: Column, known: dict[str, str] = PUBLISHERS) -> Column:
+    """The display name of a known host, the first that the host holds; else the host's first label, capitalised; Unknown without a host."""
+    h = host(url)
+    out = F.when(h == "", "Unknown").otherwise(F.initcap(F.substring_index(h, ".", 1)))
+    for domain, name in reversed(known.items()):
+        out = F.when(F.contains(h, F.lit(domain)), name).otherwise(out)
+    return out
 
 
 def keyword_category(text: Column, categories: dict[str, list[str]]) -> Column:
@@ -180,15 +148,39 @@ def keyword_category(text: Column, categories: dict[str, list[str]]) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    return F.filter(F.transform(F.split(c, r"[.!?؟]+\s+|\n+"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.transform(F.split(c, r"(?<=[.!?؟])\s+|\n+"), lambda s: F.trim(s)), lambda s: s != "")
+
+
+def holds_any(c: Column, words) -> Column:
+    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w))
+
+
+def lethality(current: Column, c: Column, survived=SURVIVED, injured=INJURED, died=DIED, background=BACKGROUND) -> Column:
+    """The outcome after a look at the text: died stays; survived by its own words, or if a sentence tells of an injury
+    and not of a death and no sentence tells of a death but as background; else what it was."""
+    told = sentences(F.coalesce(c, F.lit("")))
+    blocking = F.exists(told, lambda s: holds_any(s, died) & ~holds_any(s, background))
+    hurt = F.exists(told, lambda s: holds_any(s, injured) & ~holds_any(s, died))
+    alive = holds_any(F.coalesce(c, F.lit("")), survived) | (hurt & ~blocking)
+    return F.when(F.coalesce(current == "died", F.lit(False)), current).when(alive, "survived").otherwise(current)
+
+
+def prompt(parts: list[tuple[str, Column]], limits: dict[str, int]) -> Column:
+    """Named blocks of data between fences, each cut to its limit (a model's input has one), joined by newlines."""
+    block = lambda n, c: F.concat(F.lit(f"<{n}>\n"), F.left(F.coalesce(c, F.lit("")), F.lit(limits[n])) if n in limits else F.coalesce(c, F.lit("")), F.lit(f"\n</{n}>"))
+    return F.concat_ws("\n", *[block(n, c) for n, c in parts])
+
+
+def title_name_city(title: Column) -> Column:
+    """Struct of name and city of a title that says who was killed and where; null parts if it doesn't."""
+    part = lambda g: F.nullif(F.trim(F.regexp_extract(title, NAME_AND_CITY, g)), F.lit(""))
+    return F.struct(part(1).alias("name"), part(2).alias("city"))
 
 
-def outcome(c: Column, death: list[str], injury: list[str], background: list[str] = ()) -> Column:
-    """died, survived or null: sentences that only tell of injuries against those that tell of a death, without background sentences."""
-    says = lambda s, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.lower(s), w)) if words else F.lit(False)
-    told = F.filter(sentences(c), lambda s: ~says(s, list(background)))
-    dead = F.exists(told, lambda s: says(s, death))
-    return F.when(dead, "died").when(F.exists(told, lambda s: says(s, injury)), "survived")
+def json_of(raw: Column) -> Column:
+    """A model's answer without code fences, if it is JSON; else null."""
+    bare = F.rtrim(F.regexp_replace(F.trim(F.regexp_replace(raw, "```(?:json)?\n?", "")), "`+$", ""))
+    return F.when(F.try_parse_json(bare).isNotNull(), bare)
 
 
 def search_queries(name: Column, city: Column, year: Column, terms: list[str], most: int = 8, longest: int = 200) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegraph.functions.text import strict_subset, surname, jw
+from casegraph.functions.names import jw
+from casegraph.functions.text import strict_subset, surname
 
 #: Thresholds of the pair decision; all can be overridden.
 COSINE, JARO = 0.82, 0.88

@@ -79,6 +79,28 @@ def records(df: DataFrame, primary: list[str], more: str, keep: list[str]) -> Da
     return df.select(*keep, F.posexplode(F.concat(first, F.filter(rest, lambda r: F.coalesce(F.trim(r[primary[0]]) != "", F.lit(False))))).alias("record_index", "_r")).select(*keep, "record_index", "_r.*")
 
 
+def virtual_records(df: DataFrame, fields: list[str], more: str = "additional_victims", aliases: str = "victim_aliases") -> DataFrame:
+    """One row per victim of an extraction, with victim_index: the first as it stands, each named further one (a struct) with its own fields.
+
+    A field that further victims don't have keeps the extraction's value; one that they have replaces it, missing or not. The
+    extraction's aliases are the first victim's alone.
+    """
+    inner = [f.name for f in df.schema[more].dataType.elementType.fields]
+    names = [n for n in fields if n in inner and "name" in n]
+    named = F.filter(F.coalesce(more, F.array().cast(df.schema[more].dataType)), lambda v: v.isNotNull() & F.exists(F.array(*[v[n] for n in names]), lambda x: F.coalesce(F.trim(x), F.lit("")) != ""))
+    whole = df.withColumn("_all", F.concat(F.array(F.lit(None).cast(df.schema[more].dataType.elementType)), named))
+    rest = [c for c in df.columns if c != more]
+    long = whole.select(*rest, F.posexplode("_all").alias("victim_index", "_v"))
+    first = F.col("victim_index") == 0
+    pick = lambda c: F.when(first, F.col(c)).otherwise(F.col(f"_v.{c}")) if c in fields and c in inner else F.when(first, F.col(c)).otherwise(F.array().cast(df.schema[c].dataType)) if c == aliases else F.col(c)
+    return long.select(*[pick(c).alias(c) for c in rest], "victim_index")
+
+
+def victim_count(more: Column, name: str = "victim_name") -> Column:
+    """The first victim and the named further ones."""
+    return 1 + F.coalesce(F.size(F.filter(more, lambda v: F.coalesce(F.trim(v[name]), F.lit("")) != "")), F.lit(0))
+
+
 def rollup_by_place(cases: DataFrame, places: DataFrame, key: str, measures: dict[str, Column]) -> DataFrame:
     """Cases per place of a small dimension; cases without a place are left out here and counted as unresolved elsewhere."""
     return cases.join(places, key).groupBy(*places.columns).agg(*[c.alias(n) for n, c in measures.items()])

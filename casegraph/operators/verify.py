@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casegraph.operators.graph import connected_components, durable
 
 #: Candidate pairs of one component that a task walks in order; larger components are matched in rounds.
-WALKED = 50_000
+WALKED = 1_000_000
 
 
 def _walk(table: pa.Table) -> pa.Table:
     """The sequential greedy matches of one component."""
-    pairs = sorted(set(zip(table["t"].to_pylist(), table["c"].to_pylist())))
-    matched, used = {}, set()
-    for t, c in pairs:
-        if t not in matched and c not in used:
-            matched[t] = c
-            used.add(c)
-    return pa.table({"t": pa.array(matched, table["t"].type), "c": pa.array(matched.values(), table["c"].type)})
+    t, c = table["t"].combine_chunks(), table["c"].combine_chunks()
+    (keys, t_code), (values, c_code) = (np.unique(x.to_numpy(zero_copy_only=False), return_inverse=True) for x in (t, c))
+    order = np.lexsort((c_code, t_code))
+    t_code, c_code = t_code[order], c_code[order]
+    begin = np.searchsorted(t_code, np.arange(len(keys) + 1))
+    used = np.zeros(len(values), bool)
+    out = []
+    for i in range(len(keys)):
+        wanted = c_code[begin[i] : begin[i + 1]]
+        free = ~used[wanted]
+        if free.any():
+            j = wanted[free.argmax()]
+            used[j] = True
+            out.append((i, j))
+    rows = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table({"t": pa.array(keys[rows[:, 0]], t.type), "c": pa.array(values[rows[:, 1]], c.type)})
 
 
 def greedy_matches(candidates: DataFrame, truth: str = "truth_id", case: str = "case_id", walked: int = WALKED) -> DataFrame:

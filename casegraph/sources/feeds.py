@@ -5,7 +5,8 @@
 
 The function takes (query, start, end) and returns (url, title, published) tuples; a
 window that comes back full is halved up to MAX_DEPTH times, since feeds cut
-long answers. URLs outside the window, on blocked paths or without the wanted
+long answers; rows of a window that is still full then have is_full set, so that a
+reader can see where something may be missing. URLs outside the window, on blocked paths or without the wanted
 words are left out; rows without a date are kept. Retries are the task's.
 """
 
@@ -19,7 +20,8 @@ from urllib.parse import urlsplit
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "source string, url string, title string, published timestamp, window_start timestamp"
+SCHEMA = "source string, url string, title string, published timestamp, window_start timestamp, is_full boolean"
+# Hours of a window, rows from which one counts as full, halvings, and hours that aren't halved.
 WINDOW_HOURS = 48
 FULL = 90
 MAX_DEPTH = 4
@@ -56,7 +58,8 @@ class FeedReader(DataSourceReader):
         while todo:
             start, end, depth = todo.pop()
             found = list(fetch(self.options.get("query", ""), start, end))
-            if len(found) >= int(self.options.get("full", FULL)) and depth < MAX_DEPTH and end - start > timedelta(hours=LEAST_HOURS):
+            full = len(found) >= int(self.options.get("full", FULL))
+            if full and depth < MAX_DEPTH and end - start > timedelta(hours=LEAST_HOURS):
                 half = start + (end - start) / 2
                 todo += [(start, half, depth + 1), (half, end, depth + 1)]
                 continue
@@ -65,7 +68,7 @@ class FeedReader(DataSourceReader):
                 section = urlsplit(url).path.strip("/").split("/")[0]
                 if url not in seen and inside and section not in blocked and (not wanted or any(w in (title or "") for w in wanted)):
                     seen.add(url)
-                    yield self.options.get("source", ""), url, title, published, partition.start
+                    yield self.options.get("source", ""), url, title, published, partition.start, full
 
 
 class FeedSource(DataSource):
