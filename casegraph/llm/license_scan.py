@@ -6,11 +6,15 @@ consecutively. Texts with a gate word meet the rules whose keyword they hold (a
 broadcast of a few hundred rows, fixed in license_rules.py); each rule gives all
 its intervals of words. A detection inside another, or on the same words with a
 lower priority, is suppressed by one running maximum over the text's detections,
-sorted by their starts.
+sorted by their starts. What is left starts and ends in one order, so a detection
+that overlaps others in part overlaps a neighbour most; it goes if it shares half of
+its words or more with a neighbour of a better priority (the longer one of equal
+ones, then the one before).
 
 Null and empty texts have no words, no labels and score 0; missing places are
-null. Rows that repeat an id and text each get the same result; ids may be null.
-Empty tables give empty results.
+null. Very long texts are scanned whole. Rows that repeat an id and text each get the
+same result; ids may be null. Ties of rules go to the one listed first. Other columns
+take no part, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -68,7 +72,14 @@ def detections(texts: DataFrame) -> DataFrame:
     placed = parts.withColumn("_size", size).withColumn("end", F.sum(spaces(F.col("_part.gap")) + size).over(before)).withColumn("start", F.col("end") - F.col("_size"))
     by_start = Window.partitionBy("_key", "_h").orderBy("start", F.desc("end"), "priority", "rule_id").rowsBetween(Window.unboundedPreceding, -1)
     covered = F.coalesce(F.max("end").over(by_start) >= F.col("end"), F.lit(False))
-    return placed.select("_key", "_h", "label", "priority", "confidence", "start", "end", covered.alias("_covered")).where("not _covered").drop("_covered")
+    kept = placed.select("_key", "_h", "rule_id", "label", "priority", "confidence", "start", "end", covered.alias("_covered")).where("not _covered")
+    # neighbours by start; a smaller (priority, -length, start) is better
+    order = Window.partitionBy("_key", "_h").orderBy("start", "rule_id")
+    rank = F.struct(F.col("priority"), F.col("start") - F.col("end"), F.col("start"))
+    beside = {n: f(F.struct(rank.alias("rank"), "start", "end"), 1).over(order) for n, f in (("before", F.lag), ("after", F.lead))}
+    size = F.col("end") - F.col("start")
+    lost = lambda n: F.coalesce((F.col(f"{n}.rank") < rank) & (2 * (F.least(F.col("end"), F.col(f"{n}.end")) - F.greatest(F.col("start"), F.col(f"{n}.start"))) >= size), F.lit(False))
+    return kept.withColumns(beside).where(~(lost("before") | lost("after"))).select("_key", "_h", "label", "priority", "confidence", "start", "end")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

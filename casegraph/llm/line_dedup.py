@@ -9,7 +9,9 @@ gives a frequent key's lines their verdict is one that Spark splits when skewed.
 
 Null and empty texts are one empty line. Rows without an id keep all their lines.
 Of rows that repeat an id, each is treated alike: an id counts as one document,
-and a line to drop goes from all its rows. Empty tables give empty results.
+and a line to drop goes from all its rows. Ties can't arise, since the smallest id
+that holds a line keeps it. Very long texts are split whole. Other columns take no
+part, whatever their names. Empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -7,8 +7,10 @@ binomial, so a pair at the threshold itself is missed with a probability of at
 most MISSED, a closer one less. Links are confirmed on the full sets.
 
 Null, empty and blank texts have empty sets and are linked with nothing. Rows
-without an id are left out; rows that share an id are one document. An empty
-table gives an empty result.
+without an id are left out; rows that share an id are one document. A component's
+name is its smallest id, so ties can't arise. Very long texts are slices of their
+own. Other columns take no part, whatever their names. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations

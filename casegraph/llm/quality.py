@@ -11,7 +11,10 @@ hashes of their ids, so the bound doesn't grow with the corpus; scoring reads
 whole texts only. Rows whose crc32 (of the id as text) is divisible by 5 are
 held out. Labels that are null, or that contradict each other for one id, teach
 nothing. Without any label each text scores 0.5. Null and empty texts have the
-intercept alone. Repeated rows score alike; empty tables give empty results.
+intercept alone. Very long texts are slices of their own, read whole. Repeated rows
+score alike; labels that repeat for an id count once, and of more labels than SAMPLE
+those with the smallest hashes, then ids. Other columns take no part, whatever their
+names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -117,8 +120,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return np.frombuffer(raw, "<f4") if raw else np.zeros((1 << BITS) + 1, np.float32)
 
 
+def fresh(columns: list[str], name: str = "_score") -> str:
+    """A column name that isn't taken, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", out: str = "_score") -> DataFrame:
-    """Adds the score of each row's whole text; the weights' size is fixed (1 MB)."""
+    """Adds the score of each row's whole text as out, which docs must not have; the weights' size is fixed (1 MB)."""
+    if out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs has a column {out} already; fresh() gives a free name")
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     at = docs.columns.index(text_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{out}` double"])

@@ -154,6 +154,44 @@ def test_line_dedup(spark):
 # --- 3: quality ---
 
 
+def feature_brute(text):
+    """Counts of the buckets of one text."""
+    bucket, _ = quality.features(data := np.frombuffer((text or "").encode(), np.uint8), np.array([0, len(data)]))
+    return collections.Counter(bucket.tolist())
+
+
+def ftrl_brute(rows):
+    """Weights by follow-the-regularised-leader updates in plain Python; rows in the order of their ids' hashes."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    order = {r.id: r.h for r in spark.createDataFrame([(i,) for i, _, _ in rows], "id long").select("id", F.xxhash64("id").alias("h")).collect()}
+    rows = sorted(rows, key=lambda r: (order[r[0]], r[0]))
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= quality.L1 else -(z[k] - math.copysign(quality.L1, z[k])) / ((quality.BETA + math.sqrt(n[k])) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for _, text, y in rows:
+            counts = feature_brute(text)
+            x = {k: quality.SCALE * c / sum(counts.values()) for k, c in counts.items()} | {"intercept": 1.0}
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - y) * v
+                sigma = (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / quality.ALPHA
+                z[k] += g - sigma * w[k]
+                n[k] += g * g
+    return {k: weight(k) for k in z}
+
+
+def test_features_are_words_and_pairs():
+    same = feature_brute("ab cd"), feature_brute("ab\tcd")
+    assert same[0] == same[1] and sum(same[0].values()) == 7  # two words and outlines, a pair of each, and whether a word is repeated
+    assert sum(feature_brute("").values()) == 0 and feature_brute("ab ab") != feature_brute("ab cd")
+
+
 def test_quality_learns_outlines(spark):
     rng = random.Random(5)
     texts, labels = [], []
@@ -170,6 +208,13 @@ def test_quality_learns_outlines(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
     held = [i for i in range(300) if got[i].held_out]
     assert sum(got[i].predicted == labels[i] for i in held) >= 0.95 * len(held)
+    # each score by a plain version: dense counts, one coordinate at a time
+    weights = ftrl_brute([(i, texts[i], y) for i, y in enumerate(labels) if not got[i].held_out and i != 0] + [(0, texts[0], labels[0])] * (not got[0].held_out))
+    for i, t in enumerate([*texts, *ODD]):
+        x = feature_brute(t)
+        total = sum(x.values())
+        z = sum(weights.get(k, 0.0) * quality.SCALE * c / total for k, c in x.items()) + weights.get("intercept", 0.0)
+        assert abs(got[i].score - 1 / (1 + math.exp(-z))) < 1e-5
     none = quality.classify(docs, known.where("false")).collect()
     assert {r.score for r in none} == {0.5}
     assert quality.classify(frame(spark, []), known).count() == 0
@@ -191,6 +236,10 @@ def license_brute(text):
                     start = joined[: m.start()].count(" ")
                     found.append((start, start + m.group().count(" "), r))
     keep = [x for x in found if not any(y is not x and y[0] <= x[0] and y[1] >= x[1] and ((y[0], y[1]) != (x[0], x[1]) or (y[2].priority, y[2].rule_id) < (x[2].priority, x[2].rule_id)) for y in found)]
+    keep.sort(key=lambda x: x[0])
+    better = lambda x, y: (y[2].priority, y[0] - y[1], y[0]) < (x[2].priority, x[0] - x[1], x[0])
+    lost = lambda x, y: better(x, y) and 2 * (min(x[1], y[1]) - max(x[0], y[0])) >= x[1] - x[0]
+    keep = [x for i, x in enumerate(keep) if not any(lost(x, y) for y in [*keep[max(i - 1, 0) : i], *keep[i + 1 : i + 2]])]
     base = sorted({x for _, x in places})
     labels = sorted({*base, *[r.label for _, _, r in keep]})
     score = max([0.0, *[r.confidence for _, _, r in keep], *([0.9] if base else [])])
@@ -225,7 +274,7 @@ def rule_samples(pattern):
                 more = [chr(arg)]
             elif op == "IN":
                 more = [x for o, v in arg for x in ([chr(v)] if str(o) == "LITERAL" else [chr(v[0])] if str(o) == "RANGE" else ["x"])]
-            elif op == "NOT_LITERAL":
+            elif op in ("NOT_LITERAL", "ANY"):
                 more = ["x"]
             elif op == "BRANCH":
                 more = [x for branch in arg[1] for x in of(branch)]
@@ -614,7 +663,7 @@ def test_pipeline(spark, tmp_path, encoding):
     good = [(i, t) for i, t in enumerate(texts) if scores[i]]
     lines = line_dedup_brute(good)
     left = {i: lines[i][2] for i, t in good if not (lines[i][0] == lines[i][1])}
-    roots = grouped({i: shingle_set(t) for i, t in left.items()}, 85)
+    roots = grouped({i: shingle_set(t) for i, t in left.items()}, 80)
     want = {i: t for i, t in left.items() if roots[i] == i and items[1] not in t}
     assert set(got) == set(want)
     for i, t in want.items():
@@ -623,6 +672,25 @@ def test_pipeline(spark, tmp_path, encoding):
     assert not set(junk) & set(got) and len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path, encoding):
+    """Clashing columns, nulls in all columns, repeated ids and rows, and an empty table."""
+    import corpus_pipeline
+
+    rng = random.Random(61)
+    texts = [*ODD, *[made_words(rng, 40, 3000) for _ in range(10)]]
+    rows = [(i, t, "en", "s", len(t or ""), "x", "y", None) for i, t in enumerate(texts)]
+    rows += [(0, "again another text of the same id", "en", None, None, "x", "y", None), rows[-1], (None, "no id " + made_words(rng, 20, 3000), None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _score string, _row string, ids binary"
+    for name, part in (("full", rows), ("empty", [])):
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(i, 1, 0) for i in range(5)] + [(None, 0, 0), (3, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame([(0, None), (None, "x"), (1, "")], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    assert all(r.n_tokens == len(r.ids) // 4 for r in got)
+    assert {r.doc_id for r in got} >= {i for i, t in enumerate(texts) if i >= len(ODD) and i < len(texts) - 1}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
+
+
 def test_pipeline_drops_near_copies_from_80_percent_on(spark):
     import corpus_pipeline
 
