@@ -843,11 +843,3 @@ def title_funnel(spark, sf_dir):
 def source_roles(spark, sf_dir):
     long = file(spark, sf_dir).select("case_id", "death_date", F.posexplode("sources").alias("i", "s"))
     return long.select("case_id", (F.col("i") + 1).alias("source"), F.array_join(stages.source_roles(F.col("s.published"), F.col("death_date"), F.col("s.language"), F.col("s.tier")), ",").alias("roles"))
-
-
-@query()
-def verify_run(spark, sf_dir):
-    rows = _case_names(spark, sf_dir).where("case_id % 10 < 4")
-    truth = rows.where("case_id % 10 = 1").select(F.col("case_id").alias("truth_id"), "names", "city", "place", F.col("incident_date").alias("date"))
-    found = rows.select("case_id", "names", "city", "place", F.col("incident_date").alias("date"))
-    return stages.verify_run(truth, found)[0]
