@@ -179,7 +179,7 @@ def title_name_city(title: Column) -> Column:
 
 def json_of(raw: Column) -> Column:
     """A model's answer without code fences, if it is JSON; else null."""
-    bare = F.rtrim(F.regexp_replace(F.trim(F.regexp_replace(raw, "```(?:json)?\n?", "")), "`+$", ""))
+    bare = F.regexp_replace(F.regexp_replace(raw, "```(?:json)?\n?", ""), r"^\s+|[`\s]+$", "")
     return F.when(F.try_parse_json(bare).isNotNull(), bare)
 
 

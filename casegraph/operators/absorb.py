@@ -54,9 +54,9 @@ def absorb(cases: DataFrame, group: str, scalars: list[str], lists: dict[str, ob
     aggs += [ordered(c).alias(f"_{c}") for c in ("aliases", "flags", "victim_outcome", *lists)]
     names = [n for n in NAMES if n in cases.columns]
     aggs += [ordered("_names").alias("_all_names"), F.count("*").alias("n_merged")]
-    out = cases.withColumn("_names", F.array(*names)).groupBy(group).agg(*aggs)
+    out = cases.withColumn("_names", F.array(*names).cast("array<string>")).groupBy(group).agg(*aggs)
     fate = outcome_of(F.col("_victim_outcome"))
-    main = F.array(*names)
+    main = F.array(*names).cast("array<string>")
     keep = lambda c: F.filter(c, lambda x: x.isNotNull() & (x != ""))
     others = F.filter(keep(F.flatten("_all_names")), lambda n: ~F.coalesce(F.array_contains(keep(main), n), F.lit(False)))
     out = out.withColumn("_fate", fate).withColumns({

@@ -17,6 +17,10 @@ def test_feed_halves_full_windows(spark):
     hours = {r.url for r in got if r.published}
     assert len(hours) == 4 * 23 and not any("/sport/" in u for u in hours) and {r.source for r in got} == {"s"}
     assert df.rdd.getNumPartitions() == 2 and len({r.url for r in got}) == 93
+    assert not any(r.is_full for r in got)
+    # windows that stay full at the least length are marked
+    tight = spark.read.format("feed").option("fetch", "tests.fake_feed:fetch").option("full", "3").option("date_from", "2031-01-01").option("date_to", "2031-01-02").load().collect()
+    assert any(r.is_full for r in tight)
 
 
 def test_windows():
@@ -41,8 +45,8 @@ def test_simplify(spark):
 
 def test_text_rules(spark):
     df = spark.createDataFrame([("He was hurt. He died later.", "lena mor", "Lod"), ("He was hurt.", None, "Lod"), ("Last year one died. He was hurt!", "x", None), ("", None, None)], "t string, n string, c string")
-    got = df.select(text.outcome(F.col("t"), ["died"], ["hurt"], ["last year"]), text.search_queries(F.col("n"), F.col("c"), F.lit(2031), ["fire"], 3)).collect()
-    assert [tuple(r) for r in got] == [("died", ["lena mor", "lena mor Lod", "lena mor 2031"]), ("survived", ["Lod fire 2031"]), ("survived", ["x", "x 2031", "x fire"]), (None, [])]
+    got = df.select(text.lethality(F.lit(None).cast("string"), F.col("t"), ["lived"], ["hurt"], ["died"], ["last year", "Last year"]), text.search_queries(F.col("n"), F.col("c"), F.lit(2031), ["fire"], 3)).collect()
+    assert [tuple(r) for r in got] == [(None, ["lena mor", "lena mor Lod", "lena mor 2031"]), ("survived", ["Lod fire 2031"]), ("survived", ["x", "x 2031", "x fire"]), (None, [])]
 
 
 def test_cache_and_order(spark):
