@@ -3,8 +3,8 @@ drop the lines over the threshold and put the rest together by position.
 
 A line's key is the line without ASCII blanks at its ends, with A-Z in lower
 case. Only 128-bit hashes of keys, document ids and positions are shuffled by
-key; the text itself moves once, by document id, to meet the positions that it
-loses. The document count of a key is a partial aggregation, and the join that
+key, from a table of them that is written once; the text itself moves once, by
+document id, to meet the positions that it loses. The document count of a key is a partial aggregation, and the join that
 gives a frequent key's lines their verdict is one that Spark splits when skewed.
 
 Null and empty texts are one empty line. Rows without an id keep all their lines.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casegraph.operators.graph import durable
+from casegraph.operators.graph import durable, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = "\t\n\x0b\x0c\r "
@@ -42,7 +42,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = docs.select(F.col(id_col).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("_lines"), *keep)
     lines = source.where("_id is not null").select("_id", F.posexplode("_lines").alias("_pos", "_line"))
     keyed = lines.select("_id", "_pos", line_key(F.col("_line")).alias("_key")).where(F.length("_key") >= min_chars)
-    hashed = keyed.select("_id", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key", F.lit(7)).alias("_h2"))
+    # stored, so that texts are split and hashed once for the counts and the join
+    hashed = stored(keyed.select("_id", "_pos", F.xxhash64("_key").alias("_h1"), F.xxhash64(F.lit("line"), "_key", F.lit(7)).alias("_h2")))
     if min_docs == 2:
         # two documents at least: the smallest and the largest id differ; no distinct is needed
         counts = hashed.groupBy("_h1", "_h2").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first <> _last").drop("_last")

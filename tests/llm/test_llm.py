@@ -99,6 +99,17 @@ def test_bpe_encodes_as_the_library_and_decodes(spark, encoding):
     assert bpe.encode(frame(spark, ["x", "x"], [1, 1]), MULTI).count() == 2
 
 
+def test_long_pieces_take_no_long_time(encoding):
+    rng = random.Random(9)
+    codec = bpe.Codec(open(MULTI, "rb").read())
+    texts = ["".join(rng.choices(letters, k=n)) for letters, n in (("abcdefghijklmnopqrstuvwxyz", 200_000), ("ACGT", 100_000), ("a", 50_001), ("ab", 9_999), ("ethaoins", 49), ("-=", 30_000))]
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        ids = codec.encode(data, np.array([0, len(data)]))[0]
+        assert ids.tolist() == encoding.encode_ordinary(t)
+        assert codec.decode_sequences(ids.astype(np.int64), np.array([len(ids)])) == [t.encode()]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_token_counts_are_the_libraries(spark, name):
     path = public_tokenizers.path(name)
@@ -436,6 +447,53 @@ def test_repeated_passages(spark):
     assert substring_dedup.repeats(frame(spark, [])).count() == 0
 
 
+def test_passages_are_the_repeated_windows(spark):
+    """Each span by brute force: windows at the smallest three-word hash of each reach, equal ones by their words."""
+    rng = random.Random(71)
+    shared = [made_words(rng, 90, 3000) for _ in range(3)]
+    texts = [*ODD]
+    for _ in range(25):
+        w = rng.choice(shared).split()
+        a = rng.randint(0, 30)
+        texts.append(" ".join([made_words(rng, rng.randint(0, 40), 3000), *w[a : a + rng.choice([20, 50, 51, 60])], made_words(rng, rng.randint(0, 40), 3000)]))
+    held = collections.defaultdict(list)
+    starts_of = {}
+    for d, t in enumerate(texts):
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        word, start, end, row = kernels.words(data, np.array([0, len(data)]))
+        words = [bytes(data[a:b]).translate(bytes(kernels.LOWER)) for a, b in zip(start, end)]
+        n = len(words) - substring_dedup.WINDOW + 1
+        mult = kernels.powers(4, 0xD6E8FEB86659FD93)[0]
+        key = [int(kernels.mix(np.array([word[i] * mult[1] + word[i + 1] * mult[2] + word[i + 2] * mult[3]], np.uint64))[0]) & ~1023 for i in range(max(len(words) - 2, 0))]
+        at = set()
+        if n > 0:
+            width = min(n, substring_dedup.REACH)
+            at = {min(range(lo, lo + width), key=lambda i: (key[i], i)) for lo in range(n - width + 1)}
+        starts_of[d] = (start, end)
+        for i in at:
+            held[tuple(words[i : i + substring_dedup.WINDOW])].append((d, i))
+    want = collections.defaultdict(set)
+    for places in held.values():
+        if len(places) > 1:
+            first = min((d, int(starts_of[d][0][i])) for d, i in places)
+            for d, i in places:
+                s, e = int(starts_of[d][0][i]), int(starts_of[d][1][i + substring_dedup.WINDOW - 1])
+                want[d, (d, s) != first].add((s, e))
+    merged = set()
+    for (d, removed), spans in want.items():
+        at, reach = None, None
+        for s, e in sorted(spans):
+            if at is None or s > reach:
+                if at is not None:
+                    merged.add((d, at, reach, removed))
+                at, reach = s, e
+            reach = max(reach, e)
+        merged.add((d, at, reach, removed))
+    got = {(r.doc_id, r.first, r.last, r.removed) for r in substring_dedup.repeated_passages(frame(spark, texts)).collect()}
+    assert got == merged and got
+    assert substring_dedup.repeated_passages(frame(spark, [])).count() == 0
+
+
 def test_repeats_hold_short_paragraphs(spark):
     rng = random.Random(19)
     short = [made_words(rng, n, 3000) for n in (5, 9, 16, 24)]
