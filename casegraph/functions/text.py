@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-from casegraph.functions.values import BACKGROUND, DIED, HONORIFICS, INJURED, NAME_AND_CITY, PLACEHOLDERS, PUBLISHERS, SURVIVED
+from casegraph.functions.values import BACKGROUND, DIED, HONORIFICS, INJURED, NAME_AND_CITY, PLACEHOLDERS, PUBLISHERS, SEARCHES, SURVIVED
 
 # Letters and their Latin forms; a letter without one is dropped.
 ARABIC = {
@@ -188,3 +190,35 @@ def search_queries(name: Column, city: Column, year: Column, terms: list[str], m
     known = lambda *parts: F.when(sum((F.when(p.isNull(), 1).otherwise(0) for p in parts), F.lit(0)) == 0, F.concat_ws(" ", *[p.cast("string") for p in parts]))
     out = F.array(known(name), known(name, city), known(name, year), *[known(city, F.lit(t), year) for t in terms], *[known(name, F.lit(t)) for t in terms])
     return F.slice(F.array_distinct(F.filter(out, lambda q: q.isNotNull() & (F.length(q) < longest))), 1, most)
+
+
+def filled_in(template: str, fields: dict[str, Column]) -> Column:
+    """A template with its {fields}; {field?} only asks that the field is known. Null if one that it names is blank."""
+    known = {k: F.nullif(F.trim(c.cast("string")), F.lit("")) for k, c in fields.items()}
+    parts, at = [], 0
+    for m in re.finditer(r"\{(\w+)(\??)\}", template):
+        parts.append(F.lit(template[at : m.start()]))
+        parts.append(F.substring(known[m[1]], 1, 0) if m[2] else known[m[1]])
+        at = m.end()
+    return F.trim(F.regexp_replace(F.concat(*parts, F.lit(template[at:])), r"\s+", " "))
+
+
+def tier_queries(fields: dict[str, Column], tier: str, most: int = 6, longest: int = 200) -> Column:
+    """The searches of a tier (mainstream, arabic_local, official or arabic) for what a case knows, in order, distinct, the first ones.
+
+    fields: he, ar, city, city_ar, city_en and year.
+    """
+    out = F.array(*[filled_in(t, fields) for t in SEARCHES[tier]])
+    return F.slice(F.array_distinct(F.filter(out, lambda q: q.isNotNull() & (q != "") & (F.length(q) < longest))), 1, most)
+
+
+def mixed_queries(names: Column, cities: Column, neighborhood: Column, most: int = 8, longest: int = 200) -> Column:
+    """Searches of all names with towns of their script, then with words of the crime and of the case, in order, distinct, the first ones."""
+    arabic, hebrew = (lambda c: c.rlike("[؀-ۿ]")), (lambda c: c.rlike("[֐-׿]"))
+    quoted = lambda n, more: F.concat(F.lit('"'), n, F.lit('" '), more)
+    fits = lambda n, c: (arabic(n) & arabic(c)) | (hebrew(n) & hebrew(c)) | ~(arabic(n) | hebrew(n))
+    towns = F.flatten(F.transform(names, lambda n: F.transform(F.filter(cities, lambda c: fits(n, c)), lambda c: quoted(n, c))))
+    words = lambda ar, he: F.flatten(F.transform(names, lambda n: F.when(arabic(n), F.array(*[quoted(n, F.lit(w)) for w in ar])).when(hebrew(n), F.array(*[quoted(n, F.lit(w)) for w in he])).otherwise(F.array().cast("array<string>"))))
+    near = F.when(neighborhood.isNotNull(), F.transform(cities, lambda c: F.concat(neighborhood, F.lit(" "), c))).otherwise(F.array().cast("array<string>"))
+    every = F.concat(towns, words(("قتل", "جريمة"), ("רצח", "חשד לרצח")), near, words(("لائحة اتهام",), ("כתב אישום", "משטרה חקירה")))
+    return F.slice(F.array_distinct(F.filter(F.transform(every, lambda q: F.trim(F.regexp_replace(q, r"\s+", " "))), lambda q: F.length(q) < longest)), 1, most)

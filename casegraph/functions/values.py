@@ -177,6 +177,32 @@ IMAGE_COSINE = 0.92
 FOLD_FROM, FOLD_TO = "أإآىةؤئ", "ااايهوي"
 CAPTION_MARKS = r"[ؐ-ًؚ-ٰٟۖ-ۭ]"
 
+#: Parts of the paths of one site's images that belong to a story, and those that never do; words of a caption about an incident.
+SITE_IMAGES = ("/facebook_watermark/", "/bodyimages/images/", "/841-494/")
+SITE_THUMBNAILS = ("/280-211/", "/assets/", ".svg")
+INCIDENT_WORDS = ("موقع الجريمة", "مكان الجريمة", "موقع إطلاق النار", "مكان الحادث", "مسرح الجريمة", "المرحوم", "المغدور", "الضحية", "القتيل")
+
+# --- searches ---
+
+#: Searches by tier, in order; one whose fields aren't all known is left out.
+SEARCHES = {
+    "mainstream": (
+        'site:ynet.co.il "{he}"', 'site:mako.co.il "{he}"', 'site:haaretz.co.il "{he}"', 'site:walla.co.il "{he}"', 'site:israelhayom.co.il "{he}"',
+        'site:n12.co.il "{he}"', 'site:kan.org.il "{he}"', '"{city}" רצח {year}',
+    ),
+    "arabic_local": (
+        'site:arab48.com "{ar}"', 'site:panet.com "{ar}"', 'site:kul-alarab.com "{ar}"', 'site:bokra.net "{ar}"', 'site:alarab.com "{ar}"',
+        'site:arab48.com "{city_ar}" قتل', 'site:panet.com "{city_ar}" جريمة', "site:kul-alarab.com {ar} {city_ar}", "site:arab48.com {ar}{city_ar?} جنازة",
+    ),
+    "official": (
+        'site:police.gov.il רצח "{he}"{city?}', 'site:police.gov.il "{city}" רצח{he?}', 'site:gov.il "{he}"{city?}', "site:police.gov.il {city_ar} {ar}",
+        'site:court.gov.il "{he}"', '"{he}" כתב אישום משטרה',
+    ),
+    "arabic": (
+        "جريمة قتل {city_ar} {year}", "مقتل {city_ar} {year}", "إطلاق نار {city_ar}", "ضحية {city_ar}", "جنازة {city_ar}", "تشييع {city_ar}", "وادي {city_ar}", "{city_en} ضحية",
+    ),
+}
+
 # --- views ---
 
 MONTHS = {

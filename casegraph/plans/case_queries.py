@@ -333,6 +333,14 @@ def case_ids(spark, sf_dir):
     return cases(spark, sf_dir).where("victim_name_en is not null or victim_name_ar is not null").select("case_id", made.alias("id"))
 
 
+@query(f"""with {_C}, n as (select *, coalesce(victim_name_he, victim_name) as nm from c) select case_id, case when nm is not null then array_to_string(list_transform(['ynet.co.il', 'mako.co.il', 'haaretz.co.il', 'walla.co.il', 'israelhayom.co.il', 'n12.co.il'], lambda s: 'site:' || s || ' "' || nm || '"'), '|')
+ when city is not null and incident_date is not null then '"' || city || '" רצח ' || year(incident_date) else '' end as queries from n""")
+def tier_searches(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    fields = {"he": F.coalesce("victim_name_he", "victim_name"), "ar": F.col("victim_name_ar"), "city": F.col("city"), "city_ar": none, "city_en": none, "year": F.year("incident_date")}
+    return cases(spark, sf_dir).select("case_id", F.array_join(text.tier_queries(fields, "mainstream"), "|").alias("queries"))
+
+
 # --- identity ------------------------------------------------------------------------------
 
 _NEAR = f"""{_C}, q as (select a.case_id as id_a, b.case_id as id_b, a.city as city_a, b.city as city_b, a.incident_date as date_a, b.incident_date as date_b, abs(date_diff('day', a.incident_date, b.incident_date)) as gap from c a join c b on a.cust = b.cust and a.case_id < b.case_id)"""

@@ -220,6 +220,55 @@ def test_selection_rules(spark):
     assert kept == ["a Morgan", "Morgan"]
 
 
+def test_searches(spark):
+    col = lambda **x: {k: F.lit(x.get(k)).cast("string") for k in ("he", "ar", "city", "city_ar", "city_en", "year")}
+    get = lambda tier, **x: one(spark, text.tier_queries(col(**x), tier).alias("q")).q
+    assert get("official", he="H") == ['site:court.gov.il "H"', '"H" כתב אישום משטרה']
+    assert get("official", he="H", city="C")[:3] == ['site:police.gov.il רצח "H"', 'site:police.gov.il "C" רצח', 'site:gov.il "H"']
+    assert get("arabic", city_ar="ع", year="2031")[:2] == ["جريمة قتل ع 2031", "مقتل ع 2031"] and get("arabic_local") == []
+    assert len(get("arabic_local", ar="ا", city_ar="ع")) == 6 and "site:arab48.com ا جنازة" not in get("arabic_local", ar="ا")
+    mixed = one(spark, text.mixed_queries(strings("Lena Mor", "لينا"), strings("Lod", "اللد"), F.lit("Old Town")).alias("q")).q
+    assert mixed[:4] == ['"Lena Mor" Lod', '"Lena Mor" اللد', '"لينا" اللد', '"لينا" قتل'] and "Old Town Lod" in mixed and len(mixed) == 8
+
+
+def test_images_of_one_site(spark):
+    from casegraph.functions import values as V
+
+    ok = lambda u: one(spark, captions.host_image_allowed(F.lit(u), "arab48.com", list(V.SITE_IMAGES), list(V.SITE_THUMBNAILS)).alias("a")).a
+    assert ok("https://data.arab48.com/841-494/a.jpg") and not ok("https://data.arab48.com/280-211/841-494/a.jpg") and not ok("https://x.org/841-494/a.jpg")
+    body = lambda t, page, u="https://d/bodyImages/images/1": one(spark, captions.body_image(F.lit(t), F.lit(page), F.lit(u), strings("Lena Mor"), strings("Lod"), list(V.INCIDENT_WORDS)).alias("b")).b
+    assert body("", True) and not body("", False) and body("Lena Mor", False) and body("موقع الجريمة Lod", False) and not body("Lod", True)
+
+
+def test_cached_harvests_and_attribution(spark):
+    articles = spark.createDataFrame([("u1",), ("u2",)], "article_url string")
+    cache = spark.createDataFrame([("u1", "old", 1), ("u2", "kept", 2)], "article_url string, source_url string, version int")
+    got = gallery.harvested(articles, cache, 2, lambda left: left.withColumn("source_url", F.lit("new")))
+    assert sorted(map(tuple, got.select("article_url", "source_url").collect())) == [("u1", "new"), ("u2", "kept")]
+    images = spark.createDataFrame([(1, "m1", ["u2", "u1"]), (1, "m2", [])], "case_id int, media_id string, source_article_urls array<string>")
+    sources = spark.createDataFrame([(1, "u2", "P"), (2, "u1", "Q")], "case_id int, url string, publisher string")
+    assert {r.media_id: r.attribution for r in gallery.attribution(images, sources).collect()} == {"m1": "P", "m2": None}
+
+
+def test_provenance_of_values(spark):
+    rows = spark.createDataFrame([(1, "u1", 1, "knife"), (1, "u2", 2, "knife"), (1, "u3", 3, "gun")], "case_id int, url string, tier int, weapon string")
+    got = {r.value: (r.supporters, r.dissenters, r.confidence) for r in stages.with_provenance(rows, rows, ["weapon"]).collect()}
+    assert got == {"knife": (2, 1, 0.69), "gun": (1, 2, 0.57)}  # 0.6 + 0.07 * 2 + 0.05 - 0.1, and 0.6 + 0.07 + 0.1 - 0.2
+    roles = one(spark, *[stages.source_roles(F.lit(d).cast("date"), F.lit("2031-01-01").cast("date"), F.lit("ar"), F.lit(t)).alias(f"r{t}") for d, t in (("2031-01-02", 1), ("2031-01-09", 2), ("2031-02-01", 3))])
+    assert (roles.r1, roles.r2, roles.r3) == (["initial_report"], ["arabic_local_coverage", "update_report"], ["follow_up", "official_confirmation"])
+
+
+def test_extractions_to_cases(spark):
+    kind = "extraction_id int, article_id int, extracted_at int, title string, url string, victim_name string, victim_age int, city string, incident_date date, victim_outcome string, num_victims int, source string, confidence_score double, vector array<double>, victim_aliases array<string>, additional_victims array<struct<victim_name:string,victim_age:int,city:string,incident_date:date,victim_outcome:string>>"
+    d = dt.date(2031, 5, 4)
+    row = lambda e, a, t, n, more=(), title="t", v=(1.0, 0.0): (e, a, t, title, "u", n, 30, "Lod", d, "died", 1, "ynet", 0.8, list(v), [], list(more))
+    rows = [row(1, 1, 1, "wrong name"), row(2, 1, 2, "lena mor", [("omri dannon", 40, "Acre", dt.date(2030, 1, 1), "died")]), row(3, 2, 1, "lena mor")]
+    places = spark.createDataFrame([("lod", "Lod", None, None), ("acre", "Acre", None, None)], "alias string, name_en string, district string, region string")
+    got = stages.dedup_and_merge(spark.createDataFrame(rows, kind), places).collect()
+    # the newest extraction of an article counts, and a further victim that only the body names is left out
+    assert [(r.victim_name, r.n_sources, r.city) for r in got] == [("lena mor", 2, "Lod")]
+
+
 def test_sanity_of_one_case(spark):
     from casegraph.plans.case_queries import case_file
 
