@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casegraph.operators.graph import stored
+from casegraph.operators.graph import durable, stored
 
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -33,6 +33,21 @@ def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     return part.join(F.broadcast(before.select("_part", "_base", "_before")), "_part").withColumn(name, F.col("_before") + F.col("_seq") - F.col("_base")).drop("_part", "_seq", "_base", "_before")
 
 
+#: Shares of a table from which a key counts as hot; there are at most as many hot keys.
+HOT = 1000
+
+
+def join_counted(left: DataFrame, counted: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """left joined with counted, which has a row per key and the number n of left's rows that hold it; left has total rows.
+
+    Keys with more than a thousandth of all rows are at most a thousand and are sent to all tasks, so their rows stay where they are;
+    the others meet by a shuffle. left is read twice and should be a stored table.
+    """
+    hot = durable(counted.where(F.col(n) * HOT > total))
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.where(F.col(n) * HOT <= total), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def funnel(df: DataFrame, keys: list[str], stages: dict[str, Column]) -> DataFrame:
     """Counts per stage and each stage's yield of the one before, 0 where that is empty."""
     counted = df.groupBy(*keys).agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in stages.items()])

@@ -147,3 +147,10 @@ def test_streaming(spark, tmp_path):
     q = ingest.upsert_batches(stream, str(tmp_path / "out"), "k", "o", ["v", "o"], str(tmp_path / "cp")).start()
     q.awaitTermination(60)
     assert rows(ingest.read_table(spark, str(tmp_path / "out")).select("k", "v")) == [(1, "b"), (2, "c")]
+
+
+def test_join_counted_keeps_hot_and_rare_keys(spark):
+    left = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 2500).alias("k"))
+    counted = left.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    got = tables.join_counted(left, counted, ["k"], "n", 5000)
+    assert rows(got.select("id", "k", "n")) == rows(left.join(counted, "k").select("id", "k", "n"))
