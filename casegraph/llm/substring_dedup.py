@@ -35,7 +35,7 @@ from casegraph.llm import kernels as K
 from casegraph.llm.linking import components
 from casegraph.llm.near_dups import minima, set_hashes
 from casegraph.operators.graph import discard, release, stored
-from casegraph.operators.tables import numbered
+from casegraph.operators.tables import join_counted, numbered
 
 MIN_WORDS = 25
 SHINGLE = 5
@@ -130,7 +130,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = components(found.select("id", "n", "h1", "h2", "keys"), lambda ids: paragraph_sets(rows, ids, min_words), 1, percent, kept=True)
     linked = stored(linked.select("id", "component").distinct())
     size = linked.groupBy("component").agg(F.count("*").alias("class_size")).where("class_size > 1")
-    several = linked.join(size, "component")
+    several = join_counted(linked, size, ["component"], "class_size", linked.count())
     places = found.select("id", "first", "last", "words").dropDuplicates(["id"])
     doc = lambda c: F.floor(F.col(c) / PLACES).cast("long")
     out = several.join(places, "id").select(

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from casegraph.llm import kernels as K
 from casegraph.operators.graph import discard, durable, release, stored
+from casegraph.operators.tables import join_counted
 
 
 class Unit(NamedTuple):
@@ -255,13 +256,13 @@ RUNS = "id long, h long, place int, first int, last int, bucket long"
 def repeated_ranges(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """(id, h, start, end): ranges of units of rows (id, h, text) that repeat; they may overlap."""
     runs = stored(docs.select("id", "h", "text").mapInArrow(_scan(unit), f"{RUNS}, context long"))
-    # tables of their own, so that the joins with them can be split where a bucket is large
-    busy = stored(runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket"))
-    shared = stored(runs.join(busy, "bucket").select(runs.columns))
+    # counted first, so that the rows of large buckets and of frequent contexts stay where they are
+    busy = stored(runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1"))
+    shared = stored(join_counted(runs, busy, ["bucket"], "_n", runs.count()).select(runs.columns))
     discard(runs, busy)
     kinds = stored(shared.groupBy("bucket", "context").agg(F.count("*").alias("_n"), F.min(F.struct("id", "h", "place", "first", "last")).alias("_one")))
     release(docs.sparkSession)
-    whole = shared.join(kinds.where("_n > 1").select("bucket", "context"), ["bucket", "context"])
+    whole = join_counted(shared, kinds.where("_n > 1").select("bucket", "context", "_n"), ["bucket", "context"], "_n", shared.count())
     end = (F.col("last") + unit.span).alias("end")
     found = [whole.select("id", "h", F.col("first").alias("start"), end)]
     several = stored(kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1"))
