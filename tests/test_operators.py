@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,34 @@ def test_join_counted_keeps_hot_and_rare_keys(spark):
     counted = left.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     got = tables.join_counted(left, counted, ["k"], "n", 5000)
     assert rows(got.select("id", "k", "n")) == rows(left.join(counted, "k").select("id", "k", "n"))
+
+
+def test_pairs_of_frequent_keys_are_made_once_and_compared_by_class(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "CHUNK", 3)
+    monkeypatch.setattr(pairs, "BLOCK", 8)
+    monkeypatch.setattr(pairs, "TASK_PAIRS", 50)
+    data = [(i, [None, "hot"] + (["b"] if i % 2 else []) + ([f"k{i % 7}"] if i % 3 else []), f"n{i % 4}") for i in range(60)] + [(61, None, "n"), (62, [], "n"), (None, ["hot"], "n"), (5, ["k9"], "n1"), (63, ["k9"], "n1")]
+    df = spark.createDataFrame(data, "id long, keys array<string>, name string")
+    held = {}
+    for i, keys, _ in data:
+        if i is not None:
+            held.setdefault(i, set()).update(k for k in keys or [] if k)
+    want = sorted((x, y) for x in held for y in held if x < y and held[x] & held[y])
+    found = pairs.block_pairs(df, "keys")
+    assert rows(found) == want
+    # no pair is shuffled to be made distinct
+    assert "Distinct" not in found._jdf.queryExecution().analyzed().toString()
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def both(x: pd.Series, y: pd.Series) -> pd.Series:
+        seen.add(len(x))
+        return x + y
+
+    plain = df.where("id < 60").dropDuplicates(["id"]).withColumn("keys", F.array(F.lit("hot")))
+    out = pairs.compared(plain, "keys", ["name"], lambda a, b: F.when(both(a["name"], b["name"]) != "n0n1", both(a["name"], b["name"])), ["name"])
+    names = dict((i, n) for i, _, n in data if i is not None and i < 60)
+    want = sorted((x, y, names[x] + names[y], names[x], names[y]) for x in names for y in names if x < y and names[x] + names[y] != "n0n1")
+    assert rows(out) == want
+    assert 0 < seen.value < len(want)
