@@ -1,6 +1,7 @@
 """Rules of the case operators on small literal rows with invented names."""
 
 import datetime as dt
+import random
 
 import pandas as pd
 import pytest
@@ -186,3 +187,15 @@ def test_pairs_of_frequent_keys_are_made_once_and_compared_by_class(spark, monke
     want = sorted((x, y, names[x] + names[y], names[x], names[y]) for x in names for y in names if x < y and names[x] + names[y] != "n0n1")
     assert rows(out) == want
     assert 0 < seen.value < len(want)
+
+
+def test_cosine_links_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "VECTORS", 8)
+    rng = random.Random(5)
+    data = [(i, [rng.uniform(-1, 1) for _ in range(4)], i % 2) for i in range(50)] + [(50, [0.0] * 4, 0), (51, None, 0), (52, [1.0, None, 1.0, 1.0], 0), (53, [1.0, 1.0], 0), (54, [float("nan")] + [1.0] * 3, 1), (55, [1.0] * 4, None)]
+    df = spark.createDataFrame(data, "vec_id long, v array<float>, label int")
+    a, b = df.select("label", F.col("vec_id").alias("id_a"), F.col("v").alias("va")), df.select("label", F.col("vec_id").alias("id_b"), F.col("v").alias("vb"))
+    met = a.join(b, "label").where("id_a < id_b").select("id_a", "id_b", vectors.cosine(F.col("va"), F.col("vb")).alias("cosine")).where("cosine >= 0.3")
+    want, found = rows(met), pairs.cosine_links(df, "label", "vec_id", "v", 0.3)
+    assert [(x, y, repr(s)) for x, y, s in rows(found)] == [(x, y, repr(s)) for x, y, s in want] and len(want) > 100
+    assert [r[0] for r in rows(pairs.cosine_links(df, "label", "vec_id", "v", 0.3, ends=True))] == sorted({i for p in want for i in p[:2]})
