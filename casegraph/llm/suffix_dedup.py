@@ -20,6 +20,12 @@ The same search runs a second time over words (between ASCII blanks, A-Z in lowe
 case) in place of bytes: passages are runs covered by strings of 51 words that
 start elsewhere too. They are counted and not removed; many hold under 400 bytes.
 
+A third time it runs over strings of 25 words and asks for those that start in
+another document: a passage of 51 words of which one word was changed has 25 left
+on one side. Here a context is whole only if two documents hold it. All others are
+compared, with the first and last of the whole ones, and a string counts if two
+documents hold it.
+
 Strings are told equal by 64-bit hashes among those of one bucket, which is itself
 a 64-bit hash (in a full bucket two different ones meet with a chance of 1e-8).
 Matches never cross documents. Null texts count as empty; texts under 400 bytes
@@ -44,12 +50,13 @@ from casegraph.operators.tables import join_counted
 
 
 class Unit(NamedTuple):
-    """What strings are made of: their length and their grams' in such units, the type of a unit, and how texts become units."""
+    """What strings are made of: their length and their grams' in such units, the type of a unit, how texts become units, and which strings count."""
 
     span: int
     gram: int
     kind: type
     of: Callable
+    apart: bool = False  # only strings that stand in two documents
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +66,9 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 BYTES = Unit(400, 64, np.uint8, lambda data, offsets: (data, offsets))
 WORDS = Unit(51, 8, np.uint64, _words)
+SHARED = Unit(25, 8, np.uint64, _words, True)
+#: End of a range that takes in the whole text.
+END = (1 << 31) - 1
 #: Contexts of one bucket that a task compares at once; larger buckets are refined first.
 BUCKET = 2048
 #: A larger bucket's starts are cut into runs of these lengths in turn.
@@ -200,8 +210,15 @@ def _refine(width: int, unit: Unit):
     return run
 
 
+def _documents(table: pa.Table) -> np.ndarray:
+    """Numbers of the rows' documents."""
+    ids, h = table["id"], table["h"].to_numpy()
+    pairs = np.stack([ids.is_valid().to_numpy().astype(np.int64), ids.fill_null(0).to_numpy(), h])
+    return np.unique(pairs, axis=1, return_inverse=True)[1].ravel()
+
+
 def _ranges(table: pa.Table, unit: Unit) -> pa.RecordBatch:
-    """(id, h, start, end) of the strings that stand twice in their buckets, neighbours as one range."""
+    """(id, h, start, end) of the strings that stand twice in their buckets (in two documents, if asked), neighbours as one range."""
     place, first, last, bucket = (table[k].to_numpy() for k in ("place", "first", "last", "bucket"))
     data, offsets = _units(table["bytes"].combine_chunks(), unit)
     prefix = K.Prefix(data)
@@ -211,7 +228,14 @@ def _ranges(table: pa.Table, unit: Unit) -> pa.RecordBatch:
     start = offsets[row] + step
     key = _run_hash(prefix, start, start + unit.span, place[row] - first[row] - step) + K.mix(bucket[row].view(K.U64))
     _, code, count = np.unique(K.mix(key), return_inverse=True, return_counts=True)
-    twice = np.flatnonzero(count[code] > 1)
+    twice = count[code] > 1
+    if unit.apart:
+        doc = _documents(table)[row]
+        low, high = np.full(len(count), np.iinfo(np.int64).max), np.full(len(count), -1)
+        np.minimum.at(low, code, doc)
+        np.maximum.at(high, code, doc)
+        twice = (low < high)[code]
+    twice = np.flatnonzero(twice)
     new = np.ones(len(twice), bool)
     new[1:] = (twice[1:] != twice[:-1] + 1) | (row[twice[1:]] != row[twice[:-1]])
     head = np.flatnonzero(new)
@@ -254,20 +278,32 @@ RUNS = "id long, h long, place int, first int, last int, bucket long"
 
 
 def repeated_ranges(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """(id, h, start, end): ranges of units of rows (id, h, text) that repeat; they may overlap."""
+    """(id, h, start, end): ranges of units of rows (id, h, text) that repeat; they may overlap. Rows of equal id and h have equal texts."""
     runs = stored(docs.select("id", "h", "text").mapInArrow(_scan(unit), f"{RUNS}, context long"))
     # counted first, so that the rows of large buckets and of frequent contexts stay where they are
     busy = stored(runs.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1"))
     shared = stored(join_counted(runs, busy, ["bucket"], "_n", runs.count()).select(runs.columns))
     discard(runs, busy)
-    kinds = stored(shared.groupBy("bucket", "context").agg(F.count("*").alias("_n"), F.min(F.struct("id", "h", "place", "first", "last")).alias("_one")))
+    run = F.struct("id", "h", "place", "first", "last")
+    kinds = stored(shared.groupBy("bucket", "context").agg(F.count("*").alias("_n"), F.min(run).alias("_one"), F.max(run).alias("_last")))
     release(docs.sparkSession)
-    whole = join_counted(shared, kinds.where("_n > 1").select("bucket", "context", "_n"), ["bucket", "context"], "_n", shared.count())
+    two = F.lit(True) if not unit.apart else ~(F.col("_one.id").eqNullSafe(F.col("_last.id")) & (F.col("_one.h") == F.col("_last.h")))
+    repeated = kinds.where((F.col("_n") > 1) & two)
+    whole = join_counted(shared, repeated.select("bucket", "context", "_n"), ["bucket", "context"], "_n", shared.count())
     end = (F.col("last") + unit.span).alias("end")
     found = [whole.select("id", "h", F.col("first").alias("start"), end)]
-    several = stored(kinds.groupBy("bucket").agg(F.count("*").alias("_kinds")).where("_kinds > 1"))
-    apart = kinds.join(several.select("bucket"), "bucket").select("_one.*", "bucket")
-    per_doc = stored(apart.groupBy("id", "h").agg(F.collect_list(F.struct("place", "first", "last", "bucket")).alias("runs")))
+    of_bucket = kinds.groupBy("bucket").agg(F.count("*").alias("_kinds"), F.min("_one").alias("_one"), F.max("_last").alias("_last"))
+    several = stored(of_bucket.where((F.col("_kinds") > 1) & two).select("bucket"))
+    met = kinds.join(several, "bucket")
+    if unit.apart:
+        # one document's contexts with all their places; of the others, a place in two documents
+        ends = met.where(two).select(F.explode(F.array("_one", "_last")).alias("_one"), "bucket").select("_one.*", "bucket")
+        single = shared.join(met.where(~two).select("bucket", "context"), ["bucket", "context"], "left_semi").select(ends.columns)
+        # rows of equal id and text hold the same runs
+        runs_of = ends.unionByName(single).groupBy("id", "h").agg(F.collect_set(F.struct("place", "first", "last", "bucket")).alias("runs"))
+    else:
+        runs_of = met.select("_one.*", "bucket").groupBy("id", "h").agg(F.collect_list(F.struct("place", "first", "last", "bucket")).alias("runs"))
+    per_doc = stored(runs_of)
     # only the texts that have such runs are shuffled
     texts = docs.select(F.col("id").alias("_i"), F.col("h").alias("_h"), "text")
     met = per_doc.join(texts, F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h"))).select("id", "h", "runs", "text")
@@ -275,13 +311,16 @@ def repeated_ranges(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
     tables = [shared, kinds, several, per_doc, rows]
     release(docs.sparkSession)
     sizes = durable(rows.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > BUCKET).select("bucket"))
-    for width in (*WIDTHS, 0):
+    for width in (*(w for w in WIDTHS if w < unit.span), 0):
         large = None
         if not sizes.isEmpty():
             large = rows.join(sizes, "bucket", "left_semi").select(rows.columns)
             rows = rows.join(sizes, "bucket", "left_anti").select(rows.columns)
         if width == 0 and large is not None:
             # runs of one string in buckets of equal strings
+            if unit.apart:
+                held = large.groupBy("bucket").agg(F.min(F.struct("id", "h")).alias("_one"), F.max(F.struct("id", "h")).alias("_last"))
+                large = large.join(held.where(two).select("bucket"), "bucket", "left_semi").select(large.columns)
             found.append(large.select("id", "h", F.col("first").alias("start"), end))
         found.append(rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_compare(unit), "id long, h long, start int, end int"))
         if large is None or width == 0:
@@ -311,7 +350,7 @@ def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, spans = batch.column(1), batch.column(2)
-        size, gone, count, passages, kept = [], [], [], [], []
+        size, gone, count, passages, common, kept = [], [], [], [], [], []
         for i in range(batch.num_rows):
             text = texts[i].as_buffer()
             raw = memoryview(text) if text is not None else b""
@@ -320,25 +359,36 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone.append(0)
                 count.append(0)
                 passages.append(0)
+                common.append(0)
                 kept.append(bytes(raw))
                 continue
             ranges = spans[i].values
-            start, end, of_words = ranges.field(0).to_numpy(), ranges.field(1).to_numpy(), ranges.field(2).to_numpy(zero_copy_only=False)
-            passages.append(len(_merged(start[of_words], end[of_words])[0]))
-            s, e = _merged(start[~of_words], end[~of_words])
+            start, end, unit = (ranges.field(k).to_numpy() for k in range(3))
+            passages.append(len(_merged(start[unit == 1], end[unit == 1])[0]))
+            s, e = _merged(start[unit == 2], end[unit == 2])
+            if len(e) and e[-1] == END:
+                words = len(_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+                e = np.array([words if words >= SHARED.span else 0])
+            common.append(int((e - s).sum()))
+            s, e = _merged(start[unit == 0], end[unit == 0])
             gone.append(int((e - s).sum()))
             count.append(len(s))
             kept.append(b"".join(raw[a:b] for a, b in zip([0, *e.tolist()], [*s.tolist(), len(raw)])))
-        numbers = [pa.array(x, pa.int64()) for x in (size, gone, count, passages)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "n_passages", "kept"])
+        numbers = [pa.array(x, pa.int64()) for x in (size, gone, count, passages, common)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "n_passages", "n_shared_words", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, n_passages, kept) per row; kept holds the remaining bytes, n_passages counts repeated passages of over 50 words."""
+    """(id, n_bytes, n_removed, n_spans, n_passages, n_shared_words, kept) per row; kept holds the remaining bytes.
+
+    n_passages counts repeated passages of over 50 words, n_shared_words the words in strings of 25 that start in another row too.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    found = [repeated_ranges(rows, unit).withColumn("words", F.lit(unit is WORDS)) for unit in (BYTES, WORDS)]
-    spans = found[0].unionByName(found[1]).groupBy("id", "h").agg(F.collect_set(F.struct("start", "end", "words")).alias("spans"))
+    found = [repeated_ranges(rows, unit).withColumn("unit", F.lit(k)) for k, unit in enumerate((BYTES, WORDS, SHARED))]
+    # rows of equal id and text can't be told apart: they share all their words
+    twins = rows.groupBy("id", "h").count().where("count > 1").select("id", "h", F.lit(0).alias("start"), F.lit(END).alias("end"), F.lit(2).alias("unit"))
+    spans = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(twins).groupBy("id", "h").agg(F.collect_set(F.struct("start", "end", "unit")).alias("spans"))
     spans = spans.select(F.col("id").alias("_i"), F.col("h").alias("_h"), "spans")
     met = rows.join(spans, F.col("id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h")), "left").select("id", "text", "spans")
-    return met.mapInArrow(_remove, "id long, n_bytes long, n_removed long, n_spans long, n_passages long, kept binary")
+    return met.mapInArrow(_remove, "id long, n_bytes long, n_removed long, n_spans long, n_passages long, n_shared_words long, kept binary")

@@ -635,6 +635,36 @@ def test_passages_of_over_50_words(spark, monkeypatch):
     assert {r.id: r.n_passages for r in suffix_dedup.remove_repeats(frame(spark, texts)).collect()} == dict(enumerate(want))
 
 
+def shared_brute(texts, span=25):
+    words = [[w.translate(LOWER) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] for t in texts]
+    held = collections.defaultdict(set)
+    for d, w in enumerate(words):
+        for i in range(len(w) - span + 1):
+            held[tuple(w[i : i + span])].add(d)
+    return [len({j for i in range(len(w) - span + 1) if len(held[tuple(w[i : i + span])]) > 1 for j in range(i, i + span)}) for w in words]
+
+
+def test_words_shared_with_other_documents(spark, monkeypatch):
+    rng = random.Random(43)
+    alone, twin = made_words(rng, 60, 3000), made_words(rng, 40, 3000)
+    changed = made_words(rng, 51, 3000).split()
+    texts = [*ODD, *passages(rng), alone + " " + alone, " ".join(["be"] * 90), " ".join(["be"] * 20), " ".join(["so"] * 70), " ".join(["so"] * 30)]
+    # a passage of 51 words, one of them changed; contexts that repeat in one document and are met by another
+    texts += [made_words(rng, 30, 3000) + " " + " ".join(changed), " ".join([*changed[:25], "other", *changed[26:]]) + "\n" + made_words(rng, 30, 3000)]
+    part = made_words(rng, 60, 3000)
+    texts += [part + " x " + part + " x " + part, " ".join(part.upper().split()[11:38]), twin, twin, made_words(rng, 9, 3000)]
+    ids = [*range(len(texts) - 3), 10**6, 10**6, None]
+    want = [(i, n) for i, n in zip(ids, shared_brute(texts))]
+    for bucket in (suffix_dedup.BUCKET, 4):
+        monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+        rows = suffix_dedup.remove_repeats(frame(spark, texts, ids)).collect()
+        assert sorted((r.id is None, r.id, r.n_shared_words) for r in rows) == sorted((i is None, i, n) for i, n in want)
+    got = {r.id: r for r in rows}
+    k = texts.index(alone + " " + alone)
+    assert got[k].n_passages and not got[k].n_shared_words
+    assert not got[k + 6].n_passages and got[k + 6].n_shared_words == 50 and got[10**6].n_shared_words == 40
+
+
 def test_large_buckets_are_refined(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUCKET", 4)
     texts = passages(random.Random(14))
