@@ -220,3 +220,11 @@ def test_lists_that_agree_with_no_other_are_matched_by_rank(spark, monkeypatch):
         assert pairs_ is not agree or got == want
     # lists of one partner aren't paired row by row
     assert seen == [len(edges), 0] and len(got) == 13
+
+
+def test_pairs_leave_in_runs_that_parquet_packs(spark, tmp_path):
+    df = spark.range(2000).select(F.xxhash64("id").alias("id"), F.array(F.lit("hot"), F.concat(F.lit("k"), F.col("id") % 10)).alias("keys"))
+    pairs.compared(df, "keys").write.parquet(str(tmp_path / "out"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.count() == found.distinct().count() == 2000 * 1999 // 2 and found.where("id_a >= id_b").isEmpty()
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 0.5 * found.count()
